@@ -43,13 +43,21 @@ def row_key(*names: str) -> Column:
     return F.xxhash64(*[F.col(x) for x in names])
 
 
+def _offsets(text: pa.Array) -> np.ndarray:
+    width = np.int64 if pa.types.is_large_string(text.type) or pa.types.is_large_binary(text.type) else np.int32
+    held = text.buffers()[1]
+    if held is None or not len(text):
+        return np.zeros(len(text) + 1, np.int64)
+    return np.frombuffer(held, width)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+
+
 def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20, most_rows: int = 60_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of whole rows of at most most_bytes of text, or one row where that alone is longer."""
     if batch.num_rows == 0:
         return
     text = batch.column(batch.schema.get_field_index(column))
-    ends = np.asarray(text.offsets)[1:].astype(np.int64)
-    at, rows, base = 0, batch.num_rows, int(text.offsets[0].as_py())
+    offsets = _offsets(text)
+    ends, at, rows, base = offsets[1:], 0, batch.num_rows, int(offsets[0])
     while at < rows:
         to = int(np.searchsorted(ends, base + most_bytes, side="right"))
         to = min(max(to, at + 1), at + most_rows, rows)
@@ -62,7 +70,7 @@ def text_bytes(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarr
     text = batch.column(batch.schema.get_field_index(column))
     if text.null_count:
         text = text.fill_null("")
-    offsets = np.asarray(text.offsets).astype(np.int64)
+    offsets = _offsets(text)
     data = text.buffers()[2]
     flat = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return flat[offsets[0] : offsets[-1]], offsets - offsets[0]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import chat_format, line_dedup, quality_rules, warc_revisit
+from . import chat_format, decontaminate, jaccard_join, line_dedup, quality_rules, substring_dedup, suffix_dedup, warc_revisit
 
 _MODULES = {
+    "op1_decontaminate": decontaminate,
     "op2_chat_format": chat_format,
     "op5_warc_revisit": warc_revisit,
+    "op6_substring_dedup": substring_dedup,
+    "op7_suffix_dedup": suffix_dedup,
+    "op8_jaccard_join": jaccard_join,
     "op9_quality_rules": quality_rules,
     "op10_line_dedup": line_dedup,
 }
