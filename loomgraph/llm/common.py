@@ -130,11 +130,15 @@ class Rolling:
     """
 
     def __init__(self, seed: int):
+        self.seed = seed
         rng = np.random.default_rng(seed)
         self.base = int(rng.integers(1 << 62)) * 4 + 1 | 4
         self.bytes = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.up = self.down = np.ones(1, np.uint64)
 
+    def __reduce__(self):
+        return Rolling, (self.seed,)
+
     def _powers(self, n: int) -> None:
         if len(self.up) < n:
             n = max(n, 1 << 20)
