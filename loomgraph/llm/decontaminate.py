@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,16 +159,17 @@ def item_groups(items: DataFrame, group_chars: int = GROUP_CHARS) -> Iterator[li
 def find(docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", into: str = "_contamination") -> DataFrame:
     """docs with a struct added: n_words, n_hit, the items whose windows occur, and the runs of hit words."""
     context = docs.sparkSession.sparkContext
-    groups = [context.broadcast(compile_patterns(g, n)) for g in item_groups(items)]
+    groups = [context.broadcast(cloudpickle.dumps(compile_patterns(g, n))) for g in item_groups(items)]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled = [cloudpickle.loads(g.value) for g in groups]
         for whole in batches:
             for batch in slices(whole, text):
                 words = Words(*text_bytes(batch, text))
                 cover = np.zeros(len(words.starts) + 1, np.int32)
                 items: dict[int, set[str]] = {}
-                for group in groups:
-                    for patterns in group.value:
+                for group in compiled:
+                    for patterns in group:
                         for start, p in patterns.search(words):
                             cover[start] += 1
                             cover[start + patterns.m] -= 1

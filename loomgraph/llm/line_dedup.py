@@ -4,12 +4,13 @@ A line is boilerplate when it stands on at least min_sites distinct sites. Per l
 the sites merges by aggregation, with the number of rows beside it. Fewer rows than min_sites settle a line as
 ordinary; an estimate over what min_sites filled registers give settles it as boilerplate, since a filled
 register needs a site of its own. Lines between the two get exact distinct counts, so the verdict is exact.
-Boilerplate goes from every document but the one of the smallest doc_id that has it: no text leaves the
-corpus altogether, even where copies of one document lie on many sites.
+Boilerplate goes from every document that is more than boilerplate. A document of which it makes up over half of the
+characters is itself a copy that lies on many sites, and stays whole for near-duplicate removal to judge, so no
+document's own text leaves the corpus here.
 
 Lines are compared without outer ASCII white space; lines of white space alone always stay, and what stays keeps
-its own spelling. Defined results: a null text stays null and has no lines; a null site is no site; a row with a
-null doc_id is never the first holder; a repeated row is treated like its twin; columns beside doc_id, text and
+its own spelling. Defined results: a null text stays null and has no lines; a null site is no site; a null doc_id
+is a document like any other; a repeated row is treated like its twin; columns beside doc_id, text and
 source stay untouched (n_chars is refreshed if there); an empty table gives no rows.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import SPACES, materialise, row_key, table
 
 MIN_SITES = 8
-#: Largest number of boilerplate lines (two hashes and an id each, 24 bytes) that is broadcast; more are shuffled.
+#: Largest number of boilerplate lines (two hashes each, 16 bytes) that is broadcast; more are shuffled.
 BROADCAST_LINES = 100_000
 
 
@@ -45,12 +46,12 @@ def _lines(docs: DataFrame, text: str, site: str) -> DataFrame:
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, relative_sd: float = 0.1) -> DataFrame:
-    """_h1, _h2, _first of the lines on at least min_sites sites, exactly."""
+    """_h1, _h2 of the lines on at least min_sites sites, exactly."""
     m = _registers(relative_sd)
     sure = round(m * math.log(m / (m - min_sites))) if min_sites < m / 2 else m * 1000
     spread = (
         lines.groupBy("_h1", "_h2")
-        .agg(F.count("_site").alias("_n"), F.approx_count_distinct("_site", relative_sd).alias("_est"), F.min("_doc").alias("_first"))
+        .agg(F.count("_site").alias("_n"), F.approx_count_distinct("_site", relative_sd).alias("_est"))
         .filter(F.col("_n") >= min_sites)
     )
     spread = materialise(spread, "line-spread")
@@ -66,7 +67,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, relative_sd: float
         .select("_h1", "_h2")
     )
     settled = spread.filter(F.col("_est") >= sure).select("_h1", "_h2").unionByName(exact)
-    return materialise(spread.join(settled, ["_h1", "_h2"], "left_semi").select("_h1", "_h2", "_first"), "line-boilerplate")
+    return materialise(settled, "line-boilerplate")
 
 
 def _checked(small: DataFrame) -> DataFrame:
@@ -75,16 +76,22 @@ def _checked(small: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, min_sites: int, text: str, site: str) -> DataFrame:
-    """_row, _doc, _gone: positions of the lines that go, for rows that lose any."""
+    """_row, _doc, _gone: positions of the boilerplate lines, for rows that have any."""
     lines = _lines(docs, text, site)
     found = _checked(boilerplate(lines, min_sites))
-    hit = lines.drop("_site").join(found, ["_h1", "_h2"]).filter(F.col("_doc").isNull() | F.col("_first").isNull() | (F.col("_doc") > F.col("_first")))
+    hit = lines.drop("_site").join(found, ["_h1", "_h2"], "left_semi")
     return hit.groupBy("_row", "_doc").agg(F.array_distinct(F.collect_list("_pos")).alias("_gone"))
 
 
+def _goes(text: Column) -> Column:
+    """Whether the row loses its boilerplate: not where that is over half of its characters."""
+    chars = F.aggregate("_gone", F.lit(0), lambda n, i: n + F.length(F.get(F.col("_all"), i)))
+    return F.coalesce(2 * chars <= F.length(text), F.lit(False))
+
+
 def _kept(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i))
-    return F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(lines, "\n"))
+    lines = F.filter("_all", lambda x, i: ~F.array_contains(F.col("_gone"), i))
+    return F.when(F.col("_goes"), F.array_join(lines, "\n")).otherwise(text)
 
 
 def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, text: str = "text", site: str = "source", count: bool = False) -> DataFrame:
@@ -92,9 +99,10 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, text: str = "t
     gone = removed_lines(docs, min_sites, text, site).withColumnsRenamed({"_row": "_gone_row", "_doc": "_gone_doc"})
     keyed = docs.withColumn("_key", row_key("doc_id", text))
     joined = keyed.join(gone, (F.col("_key") == F.col("_gone_row")) & F.col("doc_id").eqNullSafe(F.col("_gone_doc")), "left")
+    joined = joined.withColumn("_all", F.when(F.col("_gone").isNotNull(), F.split(text, "\n"))).withColumn("_goes", _goes(F.col(text)))
     columns = [_kept(F.col(text)).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     if count:
-        columns.append(F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("_n_removed"))
+        columns.append(F.when(F.col("_goes"), F.size("_gone")).otherwise(0).cast("long").alias("_n_removed"))
     out = joined.select(*columns)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length(text), F.lit(0)).cast(docs.schema["n_chars"].dataType))
@@ -118,9 +126,11 @@ WITH l AS (
     trim(string_split(text, chr(10))[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k
   FROM (SELECT doc_id, source, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)
 ), b AS (
-  SELECT k, min(doc_id) AS first FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {MIN_SITES}
+  SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {MIN_SITES}
+), h AS (
+  SELECT l.*, b.k IS NOT NULL AS found FROM l LEFT JOIN b USING (k)
 ), m AS (
-  SELECT l.*, coalesce(b.k IS NOT NULL AND doc_id > first, false) AS gone FROM l LEFT JOIN b USING (k)
+  SELECT *, found AND 2 * coalesce(sum(length(line)) FILTER (found) OVER (PARTITION BY doc_id), 0) <= length(text) AS gone FROM h
 ), p AS (
   SELECT doc_id, coalesce(count(*) FILTER (NOT gone), 0) AS kept, count(*) FILTER (gone) AS n,
     coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS t FROM m GROUP BY doc_id

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, jaccard_join, line_dedup, quality_rules, substring_dedup, suffix_dedup, warc_revisit
+from . import chat_format, decontaminate, jaccard_join, line_dedup, lm_score, quality_rules, sentencepiece_fst, substring_dedup, suffix_dedup, warc_revisit
 
 _MODULES = {
     "op1_decontaminate": decontaminate,
     "op2_chat_format": chat_format,
+    "op3_lm_score": lm_score,
+    "op4_sentencepiece_fst": sentencepiece_fst,
     "op5_warc_revisit": warc_revisit,
     "op6_substring_dedup": substring_dedup,
     "op7_suffix_dedup": suffix_dedup,
