@@ -173,11 +173,11 @@ def _distinct(sets: Sets) -> np.ndarray:
     return np.unique(sets.ids, return_index=True)[1]
 
 
-_LISTS = "_key long, _set long, _size int, _level int, _sketch binary"
+_MEMBERS = "_key long, _set long, _size int, _level int, _sketch binary"
 
 
-def inverted_lists(docs: DataFrame, plan: Plan, text: str) -> DataFrame:
-    """_key, _set, _size, _level, _sketch: members of the lists that may have several sets."""
+def inverted_lists(docs: DataFrame, plan: Plan, text: str) -> tuple[DataFrame, DataFrame]:
+    """Members of the lists of several sets (_key, _set, _size, _level), and the sketches (_set, _level, _sketch)."""
 
     def seen(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for part in slices(batch, text, PIECE_BYTES):
@@ -199,16 +199,24 @@ def inverted_lists(docs: DataFrame, plan: Plan, text: str) -> DataFrame:
                     rows, keys = rows[some], keys[some]
                     if not len(rows):
                         continue
-                    own, which = np.unique(rows, return_inverse=True)
+                    own, lead = np.unique(rows, return_index=True)
                     drawn = sketches(sets, own, 32 if level < 0 else sketch_bytes(plan.parts[level]))
-                    blobs = pa.array([x.tobytes() for x in drawn], pa.binary()).take(pa.array(which))
+                    held: list[bytes | None] = [None] * len(rows)
+                    for k, x in zip(lead.tolist(), drawn, strict=True):  # one of a set's rows carries its sketch
+                        held[k] = x.tobytes()
+                    blobs = pa.array(held, pa.binary())
                     columns = [pa.array(keys.view(np.int64)), pa.array(sets.ids[rows].view(np.int64)), pa.array(sets.sizes[rows], pa.int32()), pa.array(np.full(len(rows), level), pa.int32()), blobs]
                     yield pa.RecordBatch.from_arrays(columns, names=["_key", "_set", "_size", "_level", "_sketch"])
 
-    rows = docs.mapInArrow(members, _LISTS).groupBy("_key", "_set", "_size", "_level", "_sketch").agg(F.lit(1).alias("_one")).drop("_one")
-    rows = materialise(rows, "jaccard-members")
+    rows = materialise(docs.mapInArrow(members, _MEMBERS), "jaccard-members")
     several = rows.groupBy("_key").agg(F.min("_set").alias("_a"), F.max("_set").alias("_b")).filter("_a < _b").select("_key")
-    return materialise(rows.join(several, "_key", "left_semi"), "jaccard-lists")
+    lists = rows.drop("_sketch").join(several, "_key", "left_semi").distinct()
+    return materialise(lists, "jaccard-lists"), rows.filter("_sketch is not null").select("_set", "_level", "_sketch").distinct()
+
+
+def _dealt(lists: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Whole lists, each in one partition, with their sketches."""
+    return lists.join(drawn, ["_set", "_level"]).repartition("_key").sortWithinPartitions("_key", "_set")
 
 
 def _scan(threshold: Fraction, forest: bool):
@@ -332,9 +340,8 @@ def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESH
     named = rows.filter("_size > 0").groupBy("_set", "_size").agg(F.min("doc_id").alias("_name"))
     sizes = {int(n): int(c) for n, c in named.groupBy("_size").agg(F.count(F.lit(1))).collect()}
     plan = Plan(sizes, threshold)
-    lists = inverted_lists(docs, plan, "_text")
-    dealt = lists.repartition("_key").sortWithinPartitions("_key", "_set")
-    forest = dealt.mapInArrow(_scan(threshold, True), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
+    lists, drawn = inverted_lists(docs, plan, "_text")
+    forest = _dealt(lists, drawn).mapInArrow(_scan(threshold, True), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
     # a pair that fails may do so in several lists; all lists of its two ends are scanned again
     checked = _check(materialise(forest, "jaccard-forest"), docs, "_text", threshold)
     links = checked.filter("_linked").select("_a", "_b")
@@ -344,7 +351,7 @@ def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESH
         ends = failed.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct()
         again = lists.join(lists.join(ends, "_set", "left_semi").select("_key").distinct(), "_key", "left_semi")
         again = again.join(groups.withColumnsRenamed({"id": "_set", "component": "_group"}), "_set", "left")
-        again = again.withColumn("_group", F.coalesce("_group", "_set")).repartition("_key").sortWithinPartitions("_key", "_set")
+        again = _dealt(again.withColumn("_group", F.coalesce("_group", "_set")), drawn)
         more = again.mapInArrow(_scan(threshold, False), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
         more = more.join(failed, ["_a", "_b"], "left_anti")
         rechecked = _check(materialise(more, "jaccard-rest"), docs, "_text", threshold)
