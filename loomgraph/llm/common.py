@@ -167,6 +167,27 @@ class Rolling:
         return mix((sums[n:] - sums[:-n]) * self.down[: len(symbols) - n + 1] + np.uint64(n * _ODD % (1 << 64)))
 
 
+_MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+
+
+def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each n bytes in a row, n at least 8: sums of products of the words that cover them."""
+    count = len(data) - n + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64)
+    data = np.ascontiguousarray(data)
+    spots = [*range(0, n - 8, 8), n - 8]
+    out = None
+    for k, at in enumerate(spots):
+        word = np.ndarray((count,), "<u8", data, at, (1,))
+        factor = _MULTIPLIERS[k % 3] + np.uint64(2 * (k // 3))
+        out = word * factor if out is None else np.add(out, word * factor, out=out)
+    out ^= out >> np.uint64(29)
+    out *= _MULTIPLIERS[3]
+    out ^= out >> np.uint64(32)
+    return out
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each start, end to end."""
     total = int(lengths.sum())

@@ -7,7 +7,7 @@ against each other window by window, each with the number of its members, so a p
 documents share is one row a class and never a list of pairs. Windows that occur twice or more, laid over the
 text, make up the maximal repeats of at least `length` words, and every word under them goes.
 
-Windows are told apart by 64 bits within an anchor of 64 bits.
+An anchor with one class needs no windows: all or none of its members repeat. Windows are told apart by 64 bits within an anchor of 64 bits.
 
 Defined results: a null text has no words and keeps none; a repeated row is a copy like any other, and as rows of
 one doc_id and text are told apart by nothing, each gets the same result; a null doc_id is a document; other
@@ -16,154 +16,70 @@ columns pass through untouched; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .anchors import Runs, passes, repeated_filter
-from .common import SPACED, Rolling, materialise, ranges, row_key, slices, table, text_bytes, word_spans
+from .anchors import Runs
+from .common import SPACED, Rolling, ranges, table, text_bytes, word_spans
+from .repeats import Classes, Found, covered, cut_texts, gathered, keyed
 
 LENGTH = 35
 GRAM = 10
 _BYTES, _WORDS = Rolling(11), Rolling(12)
-BLOCK_BYTES = 1 << 19
-
 
-class Block:
-    """Words of a run of rows, and their runs of windows."""
 
-    def __init__(self, batch: pa.RecordBatch, text: str):
-        self.data, offsets = text_bytes(batch, text)
-        self.starts, self.ends, self.rows = word_spans(self.data, offsets, SPACED)
-        self.words = _BYTES.stretch(_BYTES.sums(self.data), self.starts, self.ends)
+def _find(length: int):
+    def find(part: pa.RecordBatch) -> Found:
+        data, offsets = text_bytes(part, "_text")
+        starts, ends, rows = word_spans(data, offsets, SPACED)
+        words = _BYTES.stretch(_BYTES.sums(data), starts, ends)
+        gram = max(GRAM, length - 62)
+        runs = Runs(rows, length, gram, _WORDS.grams(words, gram))
+        whole = _WORDS.stretch(_WORDS.sums(words), runs.first, runs.first + runs.count + length - 1)
 
-    def runs(self, length: int) -> Runs:
-        return Runs(self.words, self.rows, length, GRAM, _WORDS)
+        def windows(some: np.ndarray) -> pa.Array:
+            edges = np.concatenate(([0], np.cumsum(runs.count[some])))
+            found = _WORDS.grams(words, length)[ranges(runs.first[some], runs.count[some])]
+            return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(found.view(np.int64)))
 
+        return Found(runs, whole, windows, rows)
 
-def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    """_row, _doc, _runs: windows (first, count, mask of those that repeat) of the rows that have any."""
-    keyed = docs.select(F.col("doc_id").alias("_doc"), row_key("doc_id", text).alias("_row"), F.col(text).alias("_text")).filter("_text is not null")
-
-    def seeds(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for part in slices(batch, "_text", BLOCK_BYTES):
-            yield Block(part, "_text").runs(length).anchor
-
-    bitmap = docs.sparkSession.sparkContext.broadcast(repeated_filter(keyed, seeds))
-
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text", BLOCK_BYTES):
-                block = Block(part, "_text")
-                runs = block.runs(length)
-                some = np.flatnonzero(passes(bitmap.value, runs.anchor))
-                if not len(some):
-                    continue
-                first, count, row = runs.first[some], runs.count[some], runs.row[some]
-                windows = _WORDS.grams(block.words, length)
-                whole = _WORDS.stretch(_WORDS.sums(block.words), first, first + count + length - 1)
-                _, lead, members = np.unique(whole, return_index=True, return_counts=True)
-                held = np.zeros(len(some), np.int64)
-                held[lead] = members
-                sizes = np.where(held > 0, count, 0)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
-                    pa.array(windows[ranges(first, sizes)].view(np.int64)),
-                    mask=pa.array(held == 0),
-                )
-                columns = [
-                    part.column("_doc").take(pa.array(row)), part.column("_row").take(pa.array(row)),
-                    pa.array(runs.anchor[some].view(np.int64)), pa.array(whole.view(np.int64)),
-                    pa.array(first - block.rows[row], pa.int32()), pa.array(count, pa.int32()), pa.array(held), lists,
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=_FOUND.names)
-
-    schema = T.StructType([T.StructField("_doc", docs.schema["doc_id"].dataType), *_FOUND.fields[1:]])
-    found = materialise(keyed.mapInArrow(extend, schema), "repeat-seeds")
-    classes = found.filter("_windows is not null").groupBy("_class", "_anchor", "_windows").agg(F.sum("_members").alias("_members"))
-    classes = materialise(classes, "repeat-classes")
-    several = classes.groupBy("_anchor").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_anchor")
-    open_ends = (
-        classes.filter("_members = 1").select("_class", "_anchor", F.posexplode("_windows").alias("_at", "_window")).join(several, "_anchor", "left_semi")
-    )
-    counted = (
-        classes.select("_anchor", "_members", F.explode("_windows").alias("_window"))
-        .join(several, "_anchor", "left_semi")
-        .groupBy("_anchor", "_window")
-        .agg(F.sum("_members").alias("_n"))
-        .filter("_n > 1")
-        .select("_anchor", "_window")
-    )
-    partly = open_ends.join(counted, ["_anchor", "_window"], "left_semi").groupBy("_class").agg(F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))
-    masks = classes.filter("_members > 1").select("_class", F.lit(-1).cast("long").alias("_mask")).unionByName(partly)
-    hit = found.select("_doc", "_row", "_class", "_first", "_count").join(masks, "_class")
-    return hit.groupBy("_row", "_doc").agg(F.collect_list(F.struct("_first", "_count", "_mask")).alias("_runs"))
-
-
-_FOUND = T.StructType(
-    [
-        T.StructField("_doc", T.LongType()),
-        T.StructField("_row", T.LongType()),
-        T.StructField("_anchor", T.LongType()),
-        T.StructField("_class", T.LongType()),
-        T.StructField("_first", T.IntegerType()),
-        T.StructField("_count", T.IntegerType()),
-        T.StructField("_members", T.LongType()),
-        T.StructField("_windows", T.ArrayType(T.LongType())),
-    ]
-)
+    return find
 
 
-def covered(runs: pa.Array, rows: np.ndarray, length: int) -> np.ndarray:
-    """Which symbols lie under a marked window. runs: for each row its (first, count, mask) from the row's start."""
-    flat = runs.flatten()
-    per_row = runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    first, count, mask = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-    first = first + np.repeat(rows[:-1], per_row)
-    step = np.zeros(int(rows[-1]) + 1, np.int32)
-    for at in range(int(count.max(initial=0))):
-        marked = first[(at < count) & ((mask >> np.int64(at)) & 1 == 1)] + at
-        np.add.at(step, marked, 1)
-        np.add.at(step, marked + length, -1)
-    return np.cumsum(step[:-1]) > 0
-
-
-def with_runs(docs: DataFrame, runs: DataFrame, text: str) -> DataFrame:
-    """docs with _runs joined on; rows without any have null."""
-    runs = runs.withColumnsRenamed({"_row": "_runs_row", "_doc": "_runs_doc"})
-    keyed = docs.withColumn("_key", row_key("doc_id", text))
-    same = (F.col("_key") == F.col("_runs_row")) & F.col("doc_id").eqNullSafe(F.col("_runs_doc"))
-    return keyed.join(runs, same, "left").drop("_key", "_runs_row", "_runs_doc")
+def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+    """_doc, _tag, _runs: runs of windows, with a bit for each that repeats, of the texts that have any."""
+    found = Classes(keyed(docs, text), _find(length), T.ArrayType(T.LongType()), "repeat-classes")
+    content = found.open_content().groupBy("_anchor", "_class", "_content").agg(F.sum("_members").alias("_members"))
+    open_ = content.select("_anchor", "_class", "_members", F.posexplode("_content").alias("_at", "_window"))
+    counted = open_.groupBy("_anchor", "_window").agg(F.sum("_members").alias("_n")).filter("_n > 1").select("_anchor", "_window")
+    partly = open_.filter("_members = 1").join(counted, ["_anchor", "_window"], "left_semi")
+    partly = partly.groupBy("_class").agg(F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))
+    masks = found.classes.filter("_members > 1").select("_class", F.lit(-1).cast("long").alias("_mask")).unionByName(partly)
+    return gathered(found.occurrences().drop("_anchor").join(masks, "_class"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """docs with _n_words, _n_removed and _kept: the words that stay, joined by one space."""
 
-    names = [*docs.columns, "_n_words", "_n_removed", "_kept"]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text, BLOCK_BYTES):
-                data, offsets = text_bytes(part, text)
-                starts, ends, rows = word_spans(data, offsets, SPACED)
-                gone = covered(part.column("_runs"), rows, length)
-                before = np.concatenate(([0], np.cumsum(gone)))[rows]
-                lengths = (ends - starts)[~gone] + 1
-                joined = np.append(data, np.uint8(0))[ranges(starts[~gone], lengths)]
-                till = np.concatenate(([0], np.cumsum(lengths)))
-                joined[till[1:] - 1] = 0x20
-                edge = till[rows - before]
-                raw = joined.tobytes()
-                kept = [raw[a : max(a, b - 1)].decode() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-                columns = [c for c, name in zip(part.columns, part.schema.names, strict=True) if name != "_runs"]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(rows)), pa.array(np.diff(before)), pa.array(kept, pa.string())], names=names)
-
-    schema = T.StructType([*docs.schema.fields, T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_kept", T.StringType())])
-    return with_runs(docs, repeats(docs, length, text), text).mapInArrow(cut, schema)
+    def cut(data: np.ndarray, offsets: np.ndarray, runs: pa.Array) -> list[pa.Array]:
+        starts, ends, rows = word_spans(data, offsets, SPACED)
+        gone = covered(runs, rows, length)
+        before = np.concatenate(([0], np.cumsum(gone)))[rows]
+        lengths = (ends - starts)[~gone] + 1
+        joined = np.append(data, np.uint8(0))[ranges(starts[~gone], lengths)]
+        till = np.concatenate(([0], np.cumsum(lengths)))
+        joined[till[1:] - 1] = 0x20
+        edge = till[rows - before]
+        raw = joined.tobytes()
+        kept = [raw[a : max(a, b - 1)].decode() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+        return [pa.array(np.diff(rows)), pa.array(np.diff(before)), pa.array(kept, pa.string())]
+
+    added = [T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType()), T.StructField("_kept", T.StringType())]
+    return cut_texts(docs, repeats(docs, length, text), text, cut, added)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
