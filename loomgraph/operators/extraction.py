@@ -189,7 +189,9 @@ def repair(text: str) -> str | None:
     if (at := text.find("{")) < 0:
         return None
     out, stack, inside, escaped = [], [], False, False
-    for c in text[at:]:
+    at -= 1
+    while (at := at + 1) < len(text):
+        c = text[at]
         if inside:
             if escaped:
                 if c not in '"\\/bfnrtu':
@@ -219,8 +221,11 @@ def repair(text: str) -> str | None:
             while out and (out[-1] == "," or out[-1].isspace()):
                 out.pop()
             stack.pop()
-        elif c.isspace():
-            continue
+        elif c not in ":,":
+            if literal := re.compile(r"true|false|null|-?\d+(\.\d+)?([eE][+-]?\d+)?").match(text, at):
+                out.append(literal[0])
+                at += len(literal[0]) - 1
+            continue  # white space, or a word that belongs to no value
         out.append(c)
         if not stack:
             break

@@ -130,13 +130,13 @@ def technical_bonus(text: Column) -> Column:
 
 
 def score(text: Column, content_type: Column | None = None, english: list[str] | None = None, chinese: list[str] | None = None) -> Column:
-    """0 to 100. Short texts and garbled ones stop early."""
+    """0 to 100, null for null. Short texts and garbled ones stop early."""
     total = 100 - F.when(is_title_only(text), 40).otherwise(0) + language_points(text) + keyword_points(text, english, chinese)
     total = total + substance_points(text) + technical_bonus(text)
     if content_type is not None:
         total = total + F.when(content_type == "table", table_points(text)).otherwise(0)
     total = F.greatest(F.lit(0), F.least(F.lit(100), total))
-    return F.when(F.length(strip(text)) < 50, 60).when(is_garbled(text), 20).otherwise(total)
+    return F.when(F.length(strip(text)) < 50, 60).when(is_garbled(text), 20).when(text.isNotNull(), total)
 
 
 def issues(text: Column) -> Column:
