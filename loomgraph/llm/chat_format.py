@@ -51,7 +51,8 @@ def unescape(text: Column) -> Column:
 
 
 def _label(role: Column, template: ChatTemplate) -> Column:
-    out = F.concat(F.lit("?"), F.replace(escape(role, template), F.lit(":"), F.lit("\\:")))
+    mark = template.role_close
+    out = F.concat(F.lit("?"), F.replace(escape(role, template), F.lit(mark), F.lit(mark[0] + "\\" + mark[1:])))
     for name, label in template.labels.items():
         out = F.when(role == name, F.lit(label)).otherwise(out)
     return out
@@ -147,7 +148,7 @@ WITH t AS (
   SELECT *, lag(role, 1, 'start') OVER w AS before, lead(role) OVER w AS after,
     replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##') AS body,
     CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant'
-      ELSE '?' || replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##'), ':', '\:') END AS label
+      ELSE '?' || replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##'), ': ', ':\ ') END AS label
   FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
