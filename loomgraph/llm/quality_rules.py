@@ -59,6 +59,12 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def n_stutters(words: Column) -> Column:
+    """Words equal to the one before."""
+    most = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.size(F.filter(F.zip_with(F.slice(words, 1, most), F.slice(words, 2, most), lambda a, b: a == b), lambda x: x))
+
+
 def n_repeat_words(words: Column) -> Column:
     """Words inside windows of eight words that occur twice or more in the text.
 
@@ -98,7 +104,8 @@ BASE = (
 )
 RULES = (
     Rule("symbols", lambda text, words: 10 * n_symbols(text) > F.size(words)),
-    Rule("duplicate_lines", lambda text, words: 100 * n_dup_lines(text) > 30 * F.size(_lines(text))),
+    Rule("duplicate_lines", lambda text, words: 2 * n_dup_lines(text) > F.size(_lines(text))),
+    Rule("stutter", lambda text, words: 100 * n_stutters(words) > 30 * F.size(words)),
     Rule("word_length", lambda text, words: (word_chars(text) < 2 * F.size(words)) | (word_chars(text) > 15 * F.size(words))),
 )
 
@@ -180,14 +187,15 @@ WITH d AS (
 ), m AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, len(list_aggregate(w, 'string_agg', ''))::BIGINT AS wc,
     (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines
+    (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
+    len(list_filter(generate_series(1, len(w) - 1), lambda i: w[i] = w[i + 1])) AS n_stutters
   FROM d LEFT JOIN cov USING (rid)
 ), b AS (
-  SELECT doc_id, n_words, coalesce(wc, 0)::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
+  SELECT doc_id, n_words, coalesce(wc, 0)::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stutters,
     n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
+  NOT base_failed AND NOT (10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR 100 * n_stutters > 30 * n_words
     OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
 FROM b
 """
