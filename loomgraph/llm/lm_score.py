@@ -34,7 +34,7 @@ PROBES = 4
 #: Bits of the filter for each stored level.
 BITS_EACH = 12
 #: Words whose exact counts are broadcast (12 bytes each); the others are joined.
-FREQUENT = 1 << 20
+FREQUENT = 1 << 19
 MU = 256.0
 FLUSH = 1 << 21
 PIECE_BYTES = 1 << 19
