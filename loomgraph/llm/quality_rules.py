@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, SPACES
+from .common import SPACE_RUN, SPACES, materialise
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -119,11 +119,11 @@ class Cascade:
 
     def measure(self, docs: DataFrame, text: str = "text") -> list[tuple[Rule, float, float]]:
         """(rule, share rejected, seconds) on the sample."""
-        rows = docs.select(F.col(text).cast("string").alias("t")).sample(self.sample_share, seed=11).limit(self.sample_rows).collect()
-        rows = rows or docs.select(F.col(text).cast("string").alias("t")).limit(self.sample_rows).collect()
-        if not rows:
-            return [(r, 0.0, 1.0) for r in self.rules]
-        local = docs.sparkSession.createDataFrame(rows, "t string").withColumn("w", words_of(F.col("t")))
+        texts = docs.select(F.col(text).cast("string").alias("t"))
+        held = materialise(texts.sample(self.sample_share, seed=11).limit(self.sample_rows), "rules-sample")
+        if held.isEmpty():
+            held = materialise(texts.limit(self.sample_rows), "rules-sample")
+        local = held.withColumn("w", words_of(F.col("t")))
         out = []
         for r in self.rules:
             began = time.perf_counter()
