@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one where none is set, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="loomgraph-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    """The folder all executors share, which the cluster names in spark.checkpoint.dir.
+
+    Where none is named, as in tests, a temporary one of this process, removed at its end.
+    """
+    if found := spark.conf.get("spark.checkpoint.dir", None):
+        return found.rstrip("/")
+    if not _OWN:
+        _OWN["dir"] = tempfile.mkdtemp(prefix="loomgraph-")
+        atexit.register(shutil.rmtree, _OWN["dir"], ignore_errors=True)
+    return "file://" + _OWN["dir"]
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
