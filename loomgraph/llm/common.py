@@ -39,6 +39,19 @@ def scratch_dir(spark: SparkSession) -> str:
     return "file://" + _OWN["dir"]
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or a longer one where df has that column already."""
+    held = {c.lower() for c in df.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
+def bundled(df: DataFrame, columns: list[str]) -> Column:
+    """Columns as one struct, so that working columns beside it can't clash with them; null-free where there are none."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]) if columns else F.struct(F.lit(0).alias("_0"))
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LETTERED, LOWER, Rolling, slices, table, text_bytes, word_spans
+from .common import LETTERED, LOWER, Rolling, fresh, slices, table, text_bytes, word_spans
 
 WORDS = 10
 BLOCK = 3
@@ -157,7 +157,8 @@ def item_groups(items: DataFrame, group_chars: int = GROUP_CHARS) -> Iterator[li
 
 
 def find(docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", into: str = "_contamination") -> DataFrame:
-    """docs with a struct added: n_words, n_hit, the items whose windows occur, and the runs of hit words."""
+    """docs with a struct added (or put in place of one of that name): n_words, n_hit, the items whose windows occur, and the runs of hit words."""
+    docs = docs.drop(into)
     context = docs.sparkSession.sparkContext
     groups = [context.broadcast(cloudpickle.dumps(compile_patterns(g, n))) for g in item_groups(items)]
 
@@ -194,8 +195,8 @@ def _runs(hit: np.ndarray) -> list[dict[str, int]]:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text") -> DataFrame:
     """docs without the rows that hold a window of an item."""
-    found = find(docs, items, n, text)
-    return found.filter(F.col("_contamination.n_hit") == 0).drop("_contamination")
+    into = fresh(docs, "_contamination")
+    return find(docs, items, n, text, into).filter(F.col(f"{into}.n_hit") == 0).drop(into)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -366,8 +366,8 @@ def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESH
 
 def keep_one_of_each(docs: DataFrame, text: str = "text", threshold: Fraction = THRESHOLD) -> DataFrame:
     """docs without the rows whose component has a smaller doc_id; of rows that repeat a doc_id all stay."""
-    found = components(docs, text, threshold).select(F.col("doc_id").alias("_doc"), "component_id").filter("_doc <> component_id").select("_doc").distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_doc"), "left_anti")
+    found = components(docs, text, threshold).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

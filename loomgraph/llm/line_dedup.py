@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, materialise, row_key, table
+from .common import SPACES, bundled, materialise, row_key, table
 
 MIN_SITES = 8
 #: Largest number of boilerplate lines (two hashes each, 16 bytes) that is broadcast; more are shuffled.
@@ -97,16 +97,17 @@ def _kept(text: Column) -> Column:
 def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, text: str = "text", site: str = "source", count: bool = False) -> DataFrame:
     """docs with cross-site boilerplate lines gone from text; count adds _n_removed."""
     gone = removed_lines(docs, min_sites, text, site).withColumnsRenamed({"_row": "_gone_row", "_doc": "_gone_doc"})
-    keyed = docs.withColumn("_key", row_key("doc_id", text))
-    joined = keyed.join(gone, (F.col("_key") == F.col("_gone_row")) & F.col("doc_id").eqNullSafe(F.col("_gone_doc")), "left")
-    joined = joined.withColumn("_all", F.when(F.col("_gone").isNotNull(), F.split(text, "\n"))).withColumn("_goes", _goes(F.col(text)))
-    columns = [_kept(F.col(text)).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(bundled(docs, docs.columns).alias("_in"), row_key("doc_id", text).alias("_key"), F.col("doc_id").alias("_doc"), F.col(text).alias("_text"))
+    joined = rows.join(gone, (F.col("_key") == F.col("_gone_row")) & F.col("_doc").eqNullSafe(F.col("_gone_doc")), "left")
+    joined = joined.withColumn("_all", F.when(F.col("_gone").isNotNull(), F.split("_text", "\n"))).withColumn("_goes", _goes(F.col("_text")))
+    joined = joined.withColumn("_new", _kept(F.col("_text")))
+    shown = {text: F.col("_new")}
+    if "n_chars" in docs.columns:
+        shown["n_chars"] = F.coalesce(F.length("_new"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+    columns = [shown.get(c, F.col(f"_in.`{c}`")).alias(c) for c in docs.columns if not (count and c == "_n_removed")]
     if count:
         columns.append(F.when(F.col("_goes"), F.size("_gone")).otherwise(0).cast("long").alias("_n_removed"))
-    out = joined.select(*columns)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length(text), F.lit(0)).cast(docs.schema["n_chars"].dataType))
-    return out
+    return joined.select(*columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_RUN, SPACES, materialise
+from .common import SPACE_RUN, SPACES, bundled, materialise
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -137,7 +137,10 @@ class Cascade:
 
 
 def judge(docs: DataFrame, cascade: Cascade | None = None, text: str = "text") -> DataFrame:
-    """docs and _rejected_by: the first rule, in the cascade's order, that rejects the row, or null."""
+    """docs with _words and _rejected_by: the first rule, in the cascade's order, that rejects the row, or null.
+
+    Input columns of these two names are replaced.
+    """
     rules = (cascade := cascade or Cascade()).ordered(docs, text)
     with_words = docs.withColumn("_words", words_of(F.col(text)))
     verdict = F.lit(None).cast("string")
@@ -147,7 +150,9 @@ def judge(docs: DataFrame, cascade: Cascade | None = None, text: str = "text") -
 
 
 def keep_good(docs: DataFrame, cascade: Cascade | None = None, text: str = "text") -> DataFrame:
-    return judge(docs, cascade, text).filter(F.col("_rejected_by").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(bundled(docs, docs.columns).alias("_in"), F.col(text).alias("_text"))
+    kept = judge(rows, cascade, "_text").filter(F.col("_rejected_by").isNull())
+    return kept.select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns])
 
 
 def digest(docs: DataFrame) -> DataFrame:

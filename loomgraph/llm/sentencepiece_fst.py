@@ -413,7 +413,8 @@ def _broadcast(df: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, path: str = MODEL, text: str = "text", into: str = "_ids") -> DataFrame:
-    """docs with the piece ids of text added. path: the model file, on the driver."""
+    """docs with the piece ids of text added (or put in place of a column of that name). path: the model file, on the driver."""
+    docs = docs.drop(into)
     model = _broadcast(docs, path)
     names = [*docs.columns, into]
 
@@ -433,10 +434,10 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text", into: str = "
 
 
 def decode(rows: DataFrame, path: str = MODEL, ids: str = "_ids", into: str = "_decoded") -> DataFrame:
-    """rows with the text of the ids added; bytes that are no UTF-8 become replacement characters."""
+    """rows with the text of the ids added (or put in place of a column of that name); bytes that are no UTF-8 become replacement characters."""
+    rows = rows.drop(into)
     with open(path, "rb") as f:
-        file = f.read()
-    fst = Transducer(file)
+        fst = Transducer(f.read())
     pool, prefix = fst.pool, fst.prefix
     shared = rows.sparkSession.sparkContext.broadcast(pool)
     names = [*rows.columns, into]

@@ -49,7 +49,8 @@ def corpus(seed=1):
 
 def frame(spark, data, extra=True):
     df = spark.createDataFrame(data, "doc_id long, text string")
-    return df.select("*", F.lit("s").alias("source"), F.lit(1).alias("_row"), F.lit(2).alias("_key")) if extra else df
+    clashing = "_row _key _doc _tag _text _in _rest _runs _size _class _anchor _set _ids _decoded _contamination _words _rejected_by _gone _new _held _word component_id n_words _kept".split()
+    return df.select("*", F.lit("s").alias("source"), *[F.lit(7).alias(c) for c in clashing]) if extra else df
 
 
 EMPTY = []
@@ -131,6 +132,15 @@ def test_jaccard_plan_covers_all_linked_sizes():
         assert plan.level(plan.reach(n)) - level <= 1
 
 
+def test_clashing_names_stay_as_they_are(spark):
+    df = frame(spark, [(k, f"text {k}\nfooter") for k in range(12)]).withColumn("source", F.col("doc_id").cast("string"))
+    items = spark.createDataFrame([(1, "no such words")], "item_id long, text string")
+    for out in (line_dedup.drop_boilerplate(df), decontaminate.drop_contaminated(df, items), jaccard_join.keep_one_of_each(df)):
+        assert out.columns == df.columns and {(r._key, r._doc, r._in, r._gone, r._contamination) for r in out.collect()} == {(7,) * 5}
+    out = sentencepiece_fst.decode(sentencepiece_fst.encode(df))
+    assert all(r._decoded == r.text and r._key == 7 for r in out.collect())
+
+
 def test_near_duplicate_stage_keeps_the_first(spark):
     data = [(d, t) for d, t in corpus() if d is not None]
     kept = {r.doc_id for r in jaccard_join.keep_one_of_each(frame(spark, data)).collect()}
@@ -235,7 +245,7 @@ def test_quality_rules(spark):
     assert [k for k, r in sorted(out.items()) if r.kept] == [0, 8]
     assert out[5].n_repeat_words == 80 and out[0].n_repeat_words == 0 and out[2].n_words == 0 and out[6].n_dup_lines == 2
     kept = quality_rules.keep_good(df)
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [0, 8]
+    assert kept.columns == df.columns and {r._words for r in kept.collect()} == {7} and sorted(r.doc_id for r in kept.collect()) == [0, 8]
     assert quality_rules.keep_good(frame(spark, EMPTY)).count() == 0
 
 
