@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import AFTER, BEFORE, count, share, strip
+from ..functions.text import BEFORE, share, strip
 from .quality import CHINESE, ENGLISH, INDICATORS
 
 # Entity and relationship types, and which types a relationship may join.

@@ -51,7 +51,6 @@ INDICATORS = {
     "technique": r"T\d{4}(?:\.\d{3})?",
     "hex": r"0x[a-fA-F0-9]+",
 }
-_TWICE = [k.lower() for n, k in enumerate(ENGLISH) if k in ENGLISH[:n]]
 
 
 def _flags(*conditions: Column) -> Column:
