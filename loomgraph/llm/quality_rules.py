@@ -137,16 +137,20 @@ class Cascade:
 
 
 def judge(docs: DataFrame, cascade: Cascade | None = None, text: str = "text") -> DataFrame:
-    """docs with _words and _rejected_by: the first rule, in the cascade's order, that rejects the row, or null.
+    """docs with _rejected_by: the first rule, in the cascade's order, that rejects the row, or null.
 
-    Input columns of these two names are replaced.
+    An input column of that name is replaced. The words are bound inside the expression, so a filter on the verdict
+    that Spark pushes down still splits a text once.
     """
     rules = (cascade := cascade or Cascade()).ordered(docs, text)
-    with_words = docs.withColumn("_words", words_of(F.col(text)))
-    verdict = F.lit(None).cast("string")
-    for rule in reversed(rules):
-        verdict = F.when(rule.reject(F.col(text), F.col("_words")), F.lit(rule.name)).otherwise(verdict)
-    return with_words.withColumn("_rejected_by", verdict)
+
+    def verdict(words: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for rule in reversed(rules):
+            out = F.when(rule.reject(F.col(text), words), F.lit(rule.name)).otherwise(out)
+        return out
+
+    return docs.withColumn("_rejected_by", _bind(words_of(F.col(text)), verdict))
 
 
 def keep_good(docs: DataFrame, cascade: Cascade | None = None, text: str = "text") -> DataFrame:
@@ -158,7 +162,7 @@ def keep_good(docs: DataFrame, cascade: Cascade | None = None, text: str = "text
 def digest(docs: DataFrame) -> DataFrame:
     """The measures of every row, and the cascade's verdict over the rules beyond the base ones."""
     rows = judge(docs.select("doc_id", F.col("text").cast("string").alias("text")), Cascade(rules=RULES))
-    rows = rows.select(
+    rows = rows.withColumn("_words", words_of(F.col("text"))).select(
         "doc_id",
         F.size("_words").cast("long").alias("n_words"),
         word_chars(F.col("text")).cast("long").alias("word_chars"),
