@@ -39,6 +39,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return "file://" + _OWN["dir"]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of 8 MB rather than the default 64, so that workers hold little whatever a row's length; a setting of the caller's own stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, "8m")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """name, or a longer one where df has that column already."""
     held = {c.lower() for c in df.columns}

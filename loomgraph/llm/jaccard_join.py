@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import passes, repeated_filter
-from .common import LOWER, SPACED, Rolling, materialise, mix, ranges, slices, table, text_bytes, word_spans
+from .anchors import opened, passes, repeated_filter, share
+from .common import LOWER, SPACED, Rolling, bound_batches, materialise, mix, ranges, slices, table, text_bytes, word_spans
 from .components import connected
 
 SHINGLE = 3
@@ -183,9 +183,10 @@ def inverted_lists(docs: DataFrame, plan: Plan, text: str) -> tuple[DataFrame, D
         for part in slices(batch, text, PIECE_BYTES):
             yield from _all_keys(Sets(part, text), plan)
 
-    bitmap = docs.sparkSession.sparkContext.broadcast(repeated_filter(docs, seen))
+    repeated = share(docs, repeated_filter(docs, seen))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = opened(repeated)
         for batch in batches:
             for part in slices(batch, text, PIECE_BYTES):
                 sets = Sets(part, text)
@@ -195,7 +196,7 @@ def inverted_lists(docs: DataFrame, plan: Plan, text: str) -> tuple[DataFrame, D
                 found = [(-1, rows, keys)]
                 found += [(level, np.repeat(rows, keys.shape[1]), keys.ravel()) for level, rows, keys in heavy_keys(sets, plan)]
                 for level, rows, keys in found:
-                    some = lone[rows] & passes(bitmap.value, keys)
+                    some = lone[rows] & passes(bitmap, keys)
                     rows, keys = rows[some], keys[some]
                     if not len(rows):
                         continue
@@ -335,6 +336,7 @@ def classes_of(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESHOLD) -> DataFrame:
     """doc_id, _size, _links (of the class, checked), component_id."""
+    bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col(text).alias("_text"))
     rows = materialise(classes_of(docs, "_text"), "jaccard-classes")
     named = rows.filter("_size > 0").groupBy("_set", "_size").agg(F.min("doc_id").alias("_name"))

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .anchors import Runs, membership_filter, passes, repeated_filter
-from .common import materialise, ranges, slices
+from .anchors import Runs, membership_filter, opened, passes, repeated_filter, share
+from .common import bound_batches, bundled, materialise, slices
 
 PIECE_BYTES = 1 << 18
 
@@ -49,18 +49,49 @@ def keyed(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(doc_key(docs).alias("_doc"), F.hash(F.col(text)).alias("_tag"), F.col(text).alias("_text")).filter("_text is not null")
 
 
+def later_copies(docs: DataFrame, tag: str) -> DataFrame:
+    """_doc, _tag of keyed texts that a smaller _doc has, too. Texts are told apart by 128 bits; only hashes travel."""
+    rows = docs.select("_doc", "_tag", F.xxhash64("_text").alias("_h1"), F.xxhash64(F.lit(5), "_text").alias("_h2"))
+    groups = rows.groupBy("_h1", "_h2").agg(F.min("_doc").alias("_a"), F.max("_doc").alias("_b")).filter("_a < _b")
+    return materialise(rows.join(groups, ["_h1", "_h2"]).filter("_doc > _a").select("_doc", "_tag").distinct(), tag)
+
+
+#: Bits of the filter of texts that are no copies, as a power of two.
+OTHERS_BITS = 26
+
+
+def without(docs: DataFrame, copies: DataFrame) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    """A function that drops copies from batches of keyed texts, by a filter of fixed size of the others.
+
+    Where the filter is full, copies pass and are worked on like other texts.
+    """
+    mixed = F.xxhash64("_doc", "_tag")
+    others = docs.select("_doc", "_tag").join(copies, ["_doc", "_tag"], "left_anti").select(mixed.alias("_id"))
+    kept = share(docs, membership_filter(others, "_id", OTHERS_BITS))
+    held: list[np.ndarray] = []
+
+    def wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not held:
+            held.append(opened(kept))
+        return batch.filter(pa.array(passes(held[0], batch.column("_id").to_numpy().view(np.uint64))))
+
+    return wanted
+
+
 class Classes:
     """Occurrences, classes and the content of open anchors of the texts in keyed(docs)."""
 
-    def __init__(self, docs: DataFrame, find: Callable[[pa.RecordBatch], Found], content: T.DataType, tag: str):
-        self.docs, self.find, self.kind = docs, find, content
-        self.context = docs.sparkSession.sparkContext
+    def __init__(self, docs: DataFrame, find: Callable[[pa.RecordBatch], Found], content: T.DataType, tag: str, wanted: Callable[[pa.RecordBatch], pa.RecordBatch] = lambda b: b):
+        """wanted: drops rows from a batch that need no work. It sees _doc, _tag, _text and _id, a hash of the first two."""
+        bound_batches(docs.sparkSession)
+        docs = docs.withColumn("_id", F.xxhash64("_doc", "_tag"))
+        self.docs, self.find, self.kind, self.wanted = docs, find, content, wanted
 
         def seeds(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-            for part in slices(batch, "_text", PIECE_BYTES):
+            for part in slices(wanted(batch), "_text", PIECE_BYTES):
                 yield find(part).runs.anchor
 
-        self.repeated = self.context.broadcast(repeated_filter(docs, seeds))
+        self.repeated = share(docs, repeated_filter(docs, seeds))
         classes = self.occurrences().groupBy("_anchor", "_class").agg(
             F.count(F.lit(1)).alias("_members"), F.min("_doc").alias("_least"), F.max("_doc").alias("_most")
         )
@@ -71,14 +102,15 @@ class Classes:
 
     def occurrences(self) -> DataFrame:
         """_anchor, _class, _doc, _tag, _at: the run's first window and its number of windows, in 64 bits."""
-        find, repeated = self.find, self.repeated
+        find, repeated, wanted = self.find, self.repeated, self.wanted
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bitmap = opened(repeated)
             for batch in batches:
-                for part in slices(batch, "_text", PIECE_BYTES):
+                for part in slices(wanted(batch), "_text", PIECE_BYTES):
                     found = find(part)
                     runs = found.runs
-                    some = np.flatnonzero(passes(repeated.value, runs.anchor))
+                    some = np.flatnonzero(passes(bitmap, runs.anchor))
                     row = runs.row[some]
                     at = pa.array(row)
                     yield pa.RecordBatch.from_arrays(
@@ -91,9 +123,21 @@ class Classes:
 
         return self.docs.mapInArrow(run, "_anchor long, _class long, _doc long, _tag int, _at long")
 
+    def resolved(self, told: DataFrame) -> DataFrame:
+        """Occurrences joined with told by _class. Classes of a thousandth of all occurrences or more, at most a thousand of
+        them, are dealt over SALTS pieces."""
+        total = self.classes.agg(F.sum("_members")).first()[0] or 0
+        hot = self.classes.filter(F.col("_members") * 1000 >= max(total, LEAST_HOT * 1000)).select("_class", F.lit(True).alias("_hot"))
+        hot = F.broadcast(hot)  # at most a thousand rows
+        rows = self.occurrences().drop("_anchor").join(hot, "_class", "left")
+        rows = rows.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_doc"), F.lit(SALTS))).otherwise(0).cast("int")).drop("_hot")
+        dealt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        told = told.join(hot, "_class", "left").withColumn("_salt", F.explode(dealt)).drop("_hot")
+        return rows.join(told, ["_class", "_salt"]).drop("_salt")
+
     def open_content(self) -> DataFrame:
         """_anchor, _class, _count, _members, _least, _content of the open anchors: a row for each class of a task's texts."""
-        find, several = self.find, self.context.broadcast(membership_filter(self.open, "_anchor"))
+        find, wanted, several = self.find, self.wanted, share(self.docs, membership_filter(self.open, "_anchor", OPEN_BITS))
         names = ["_anchor", "_class", "_count", "_members", "_least", "_content"]
 
         def merged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -108,12 +152,12 @@ class Classes:
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, size = [], 0
+            held, size, bitmap = [], 0, opened(several)
             for batch in batches:
-                for part in slices(batch, "_text", PIECE_BYTES):
+                for part in slices(wanted(batch), "_text", PIECE_BYTES):
                     found = find(part)
                     runs = found.runs
-                    some = np.flatnonzero(passes(several.value, runs.anchor))
+                    some = np.flatnonzero(passes(bitmap, runs.anchor))
                     if not len(some):
                         continue
                     _, lead, which = np.unique(found.whole[some], return_index=True, return_inverse=True)
@@ -136,8 +180,12 @@ class Classes:
         return self.docs.mapInArrow(run, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
 
 
+#: Pieces that a hot class is dealt over, and the fewest occurrences of a hot class.
+SALTS, LEAST_HOT = 64, 2000
 #: Bytes of content that a task merges by class before it sends them.
-MERGE_BYTES = 32 << 20
+MERGE_BYTES = 8 << 20
+#: Bits of the filter of open anchors, as a power of two.
+OPEN_BITS = 27
 
 
 def gathered(hit: DataFrame) -> DataFrame:
@@ -146,16 +194,20 @@ def gathered(hit: DataFrame) -> DataFrame:
 
 
 def covered(runs: pa.Array, rows: np.ndarray, length: int) -> np.ndarray:
-    """Which symbols lie under a marked window. runs: for each row its (at, mask)."""
+    """Which symbols lie under a marked window. runs: for each row its (at, mask); an at under 0 marks the whole row."""
     flat = runs.flatten()
     per_row = runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     at, mask = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+    whole = np.repeat(np.arange(len(per_row)), per_row)[at < 0]
+    mask = np.where(at < 0, 0, mask)
     first, count = (at >> 6) + np.repeat(rows[:-1], per_row), at & 63
     step = np.zeros(int(rows[-1]) + 1, np.int32)
     for k in range(int(count.max(initial=0))):
         marked = first[(k < count) & ((mask >> np.int64(k)) & 1 == 1)] + k
         np.add.at(step, marked, 1)
         np.add.at(step, marked + length, -1)
+    np.add.at(step, rows[whole], 1)
+    np.add.at(step, rows[whole + 1], -1)
     return np.cumsum(step[:-1]) > 0
 
 
@@ -165,26 +217,28 @@ Cut = Callable[[np.ndarray, np.ndarray, pa.Array], list[pa.Array]]
 def cut_texts(docs: DataFrame, runs: DataFrame, text: str, cut: Cut, added: list[T.StructField]) -> DataFrame:
     """docs with added columns: what cut makes of (bytes, row offsets, lists of runs) for blocks of rows.
 
-    The text is the one large column; it is compressed for the shuffle.
+    An input column that has the name of an added one is replaced. The text is the one large column; it is
+    compressed for the shuffle.
     """
-    names, place = docs.columns, docs.columns.index(text)
-    packed = [f if f.name != text else T.StructField(text, T.BinaryType()) for f in docs.schema.fields]
+    new = [f.name for f in added]
+    others = [c for c in docs.columns if c != text and c not in new]
+    rest = T.StructField("_rest", docs.select(bundled(docs, others).alias("_rest")).schema["_rest"].dataType)
+    keys = [T.StructField("_doc", T.LongType()), T.StructField("_tag", T.IntegerType())]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=3)
         for batch in batches:
-            for part in slices(batch, text, PIECE_BYTES):
-                raw = part.column(text).cast(pa.binary()).to_pylist()
+            for part in slices(batch, "_text", PIECE_BYTES):
+                raw = part.column("_text").cast(pa.binary()).to_pylist()
                 sizes = pa.array([None if x is None else len(x) for x in raw], pa.int64())
                 blobs = pa.array([None if x is None else codec.compress(x).to_pybytes() for x in raw], pa.binary())
-                columns = [blobs if name == text else c for name, c in zip(names, part.columns, strict=False)]
-                yield pa.RecordBatch.from_arrays([*columns, part.column("_doc"), part.column("_tag"), sizes], names=[*names, "_doc", "_tag", "_size"])
+                yield pa.RecordBatch.from_arrays([part.column("_rest"), blobs, part.column("_doc"), part.column("_tag"), sizes], names=["_rest", "_text", "_doc", "_tag", "_size"])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd")
         for batch in batches:
             sizes = batch.column("_size").fill_null(0).to_numpy(zero_copy_only=False)
-            blobs, nulls = batch.column(text), batch.column("_size").is_null()
+            blobs, nulls = batch.column("_text"), batch.column("_size").is_null()
             at = 0
             while at < batch.num_rows:
                 to = at + max(int(np.searchsorted(np.cumsum(sizes[at:]), PIECE_BYTES, side="right")), 1)
@@ -193,14 +247,13 @@ def cut_texts(docs: DataFrame, runs: DataFrame, text: str, cut: Cut, added: list
                 offsets = np.concatenate(([0], np.cumsum(sizes[at:to])))
                 texts = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]).cast(pa.string())
                 texts = pa.compute.if_else(nulls[at:to], pa.scalar(None, pa.string()), texts)
-                columns = list(part.columns[: len(names)])
-                columns[place] = texts
                 made = cut(np.frombuffer(data, np.uint8), offsets, part.column("_runs"))
-                yield pa.RecordBatch.from_arrays([*columns, *made], names=[*names, *(f.name for f in added)])
+                yield pa.RecordBatch.from_arrays([part.column("_rest"), texts, *made], names=["_rest", "_text", *new])
                 at = to
 
-    tagged = docs.withColumn("_doc", doc_key(docs)).withColumn("_tag", F.hash(F.col(text)))
-    keys = [T.StructField("_doc", T.LongType()), T.StructField("_tag", T.IntegerType()), T.StructField("_size", T.LongType())]
-    wire = tagged.mapInArrow(pack, T.StructType([*packed, *keys]))
-    joined = wire.join(runs, ["_doc", "_tag"], "left").select(*names, "_size", "_runs")
-    return joined.mapInArrow(unpack, T.StructType([*docs.schema.fields, *added]))
+    rows = docs.select(bundled(docs, others).alias("_rest"), F.col(text).alias("_text"), doc_key(docs).alias("_doc"), F.hash(F.col(text)).alias("_tag"))
+    wire = rows.mapInArrow(pack, T.StructType([rest, T.StructField("_text", T.BinaryType()), *keys, T.StructField("_size", T.LongType())]))
+    joined = wire.join(runs, ["_doc", "_tag"], "left").select("_rest", "_text", "_size", "_runs")
+    out = joined.mapInArrow(unpack, T.StructType([rest, T.StructField("_text", T.StringType()), *added]))
+    back = [F.col("_text").alias(c) if c == text else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns if c not in new]
+    return out.select(*back, *new)

@@ -59,7 +59,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFr
     partly = open_.filter("_members = 1").join(counted, ["_anchor", "_window"], "left_semi")
     partly = partly.groupBy("_class").agg(F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))
     masks = found.classes.filter("_members > 1").select("_class", F.lit(-1).cast("long").alias("_mask")).unionByName(partly)
-    return gathered(found.occurrences().drop("_anchor").join(masks, "_class"))
+    return gathered(found.resolved(masks))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:

@@ -3,7 +3,7 @@
 A byte goes if it lies under a string of `length` bytes that also starts in a document of smaller doc_id. Anchors
 deal the strings out: equal strings have one anchor, so runs of strings meet by anchor. A run's bytes, from the
 first string to the end of the last, form a class with the least doc_id that has it, so copies are one class
-however many there are. Each task lays the classes of its anchors end to end in blocks, sorts their suffixes by
+however many there are (a whole text that a smaller doc_id has, too, goes without further work); a class that is alone with its anchor has nothing to be compared with. Each task lays the classes of its anchors end to end in blocks, sorts their suffixes by
 bounded prefix, takes the Burrows-Wheeler transform, and grows intervals breadth first: the interval of cw is the
 one of w stepped back over c, so the borders between intervals, which are the common prefixes, appear by increasing
 value; at `length` it stops. An interval's least doc_id then says which of its strings go.
@@ -12,7 +12,7 @@ A block holds whole anchors; an anchor whose classes alone exceed BLOCK_BYTES ma
 HEAVY_CLASSES classes, and an anchor with more is taken string by string in an aggregation by content, which spreads
 over tasks and gives the same result.
 
-Defined results: a null text is empty; documents of a null doc_id neither lose bytes nor make others lose any;
+Defined results: a null text is empty; doc_id is a whole number; documents of a null one neither lose bytes nor make others lose any;
 rows that repeat a doc_id are one document, so they never cost each other a byte; an empty table gives no rows; other columns pass through untouched.
 """
 
@@ -26,16 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .anchors import Runs, passes, repeated_filter
-from .common import Rolling, materialise, ranges, row_key, slices, strings_of, table, text_bytes
-from .substring_dedup import covered, with_runs
+from .anchors import Runs
+from .common import Rolling, byte_grams, ranges, strings_of, table, text_bytes
+from .repeats import NO_DOC, Classes, Found, covered, cut_texts, gathered, keyed, later_copies, without
 
 LENGTH = 50
-GRAM = 12
+GRAM = 24
 _GRAMS = Rolling(21)
-PIECE_BYTES = 1 << 19
 #: Bytes of a block of classes that is sorted at once.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Classes of one anchor that a block takes; beyond it the anchor is dealt out string by string.
 HEAVY_CLASSES = 20_000
 
@@ -73,16 +72,23 @@ def intervals(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     border = np.empty(n, bool)
     border[0] = True
     np.not_equal(head[1:], head[:-1], out=border[1:])
-    open_ = np.flatnonzero(~border)  # places where no border has appeared yet
-    left, right = following[open_ - 1], following[open_]
-    for _ in range(1, length):  # common prefixes of 1, 2, ... length - 1 bytes
-        if not len(open_):
-            break
-        number = np.cumsum(border, dtype=np.int32)
-        parted = number[left] != number[right]
+    open_ = np.flatnonzero(~border).astype(np.int32)  # places where no border has appeared yet
+    for level in range(1, length):  # common prefixes of 1, 2, ... length - 1 bytes
+        if level % 4 == 1:
+            open_ = open_[~border[open_]]
+            one, two = following[open_ - 1], following[open_]
+            left, right = np.minimum(one, two), np.maximum(one, two)  # suffixes alike beyond the sorted prefix stand in any order
+            wide = np.flatnonzero(right - left > 1)
+        parted = border[right]
+        if len(wide):  # other characters stand between: any border on the way parts them
+            gaps = (right[wide] - left[wide]).astype(np.int64)
+            if int(gaps.sum()) < n:
+                between = border[ranges(left[wide].astype(np.int64) + 1, gaps)]
+                parted[wide] = np.logical_or.reduceat(between, np.cumsum(gaps) - gaps)
+            else:
+                number = np.cumsum(border, dtype=np.int32)
+                parted[wide] = number[left[wide]] != number[right[wide]]
         border[open_[parted]] = True
-        whole = ~parted
-        open_, left, right = open_[whole], left[whole], right[whole]
     return order, np.cumsum(border, dtype=np.int32) - 1
 
 
@@ -105,20 +111,7 @@ def masks(spans: list[bytes], counts: np.ndarray, docs: np.ndarray, length: int)
     return out
 
 
-_FOUND = T.StructType(
-    [
-        T.StructField("_doc", T.LongType()),
-        T.StructField("_row", T.LongType()),
-        T.StructField("_anchor", T.LongType()),
-        T.StructField("_class", T.LongType()),
-        T.StructField("_first", T.IntegerType()),
-        T.StructField("_count", T.IntegerType()),
-        T.StructField("_least", T.LongType()),
-        T.StructField("_most", T.LongType()),
-        T.StructField("_span", T.BinaryType()),
-    ]
-)
-_CLASS = T.StructType([T.StructField("_class", T.LongType()), T.StructField("_least", T.LongType()), T.StructField("_mask", T.LongType())])
+_MASKS = "_class long, _least long, _mask long"
 
 
 def _settle(length: int):
@@ -140,108 +133,74 @@ def _settle(length: int):
             yield from settle(pa.Table.from_batches(held).combine_chunks())
 
     def settle(whole: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = whole.column("_class").to_numpy()
-        _, lead, which = np.unique(key, return_index=True, return_inverse=True)
+        keys = whole.column("_class").to_numpy()
+        _, lead, which = np.unique(keys, return_index=True, return_inverse=True)
         least = np.full(len(lead), np.iinfo(np.int64).max)
         np.minimum.at(least, which, whole.column("_least").to_numpy())
-        most = np.full(len(lead), np.iinfo(np.int64).min)
-        np.maximum.at(most, which, whole.column("_most").to_numpy())
-        rows = whole.take(pa.array(lead))
-        mask = masks(rows.column("_span").to_pylist(), rows.column("_count").to_numpy().astype(np.int64), least, length)
-        told = (mask != 0) | (most > least)
-        yield pa.RecordBatch.from_arrays([pa.array(key[lead][told]), pa.array(least[told]), pa.array(mask[told])], names=_CLASS.names)
+        spans, counts = whole.column("_content").take(pa.array(lead)).to_pylist(), whole.column("_count").to_numpy()[lead].astype(np.int64)
+        mask = masks(spans, counts, least, length)
+        some = mask != 0
+        yield pa.RecordBatch.from_arrays([pa.array(keys[lead][some]), pa.array(least[some]), pa.array(mask[some])], names=["_class", "_least", "_mask"])
 
     return run
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
-    """_row, _doc, _runs: strings (first, count, mask of those that go) of the rows that lose any."""
-    keyed = docs.select(F.col("doc_id").alias("_doc"), row_key("doc_id", text).alias("_row"), F.col(text).alias("_text"))
-    keyed = keyed.filter("_text is not null and _doc is not null")
+def _find(length: int):
+    def find(part: pa.RecordBatch) -> Found:
+        data, rows = text_bytes(part, "_text")
+        gram = max(GRAM, length - 62)
+        runs = Runs(rows, length, gram, byte_grams(data, gram))
+        size = runs.count + length - 1
+        whole = _GRAMS.stretch(_GRAMS.sums(data), runs.first, runs.first + size)
+        return Found(runs, whole, lambda some: strings_of(data[ranges(runs.first[some], size[some])], np.cumsum(size[some])), rows)
 
-    def seeds(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for part in slices(batch, "_text", PIECE_BYTES):
-            yield Runs(*text_bytes(part, "_text"), length, GRAM, _GRAMS).anchor
+    return find
 
-    bitmap = docs.sparkSession.sparkContext.broadcast(repeated_filter(keyed, seeds))
 
-    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text", PIECE_BYTES):
-                data, rows = text_bytes(part, "_text")
-                runs = Runs(data, rows, length, GRAM, _GRAMS)
-                some = np.flatnonzero(passes(bitmap.value, runs.anchor))
-                if not len(some):
-                    continue
-                first, count, row = runs.first[some], runs.count[some], runs.row[some]
-                whole = _GRAMS.stretch(_GRAMS.sums(data), first, first + count + length - 1)
-                doc = part.column("_doc").to_numpy()[row]
-                _, lead, which = np.unique(whole, return_index=True, return_inverse=True)
-                least = np.full(len(lead), np.iinfo(np.int64).max)
-                np.minimum.at(least, which, doc)
-                most = np.full(len(lead), np.iinfo(np.int64).min)
-                np.maximum.at(most, which, doc)
-                held = np.zeros(len(some), bool)
-                held[lead] = True
-                low, high = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
-                low[lead], high[lead] = least, most
-                sizes = np.where(held, count + length - 1, 0)
-                text_of = strings_of(data[ranges(first, sizes)], np.cumsum(sizes))
-                text_of = pa.compute.if_else(pa.array(held), text_of, pa.scalar(None, pa.binary()))
-                columns = [
-                    pa.array(doc), part.column("_row").take(pa.array(row)), pa.array(runs.anchor[some].view(np.int64)), pa.array(whole.view(np.int64)),
-                    pa.array(first - rows[row], pa.int32()), pa.array(count, pa.int32()), pa.array(low), pa.array(high), text_of,
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=_FOUND.names)
-
-    found = materialise(keyed.mapInArrow(spans, _FOUND), "suffix-spans")
-    classes = found.filter("_span is not null").select("_anchor", "_class", "_count", "_least", "_most", "_span")
-    heavy = materialise(classes.groupBy("_anchor").agg(F.approx_count_distinct("_class").alias("_n")).filter(F.col("_n") > HEAVY_CLASSES).select("_anchor"), "suffix-heavy")
-    if heavy.isEmpty():
-        settled = classes.repartition("_anchor").sortWithinPartitions("_anchor").mapInArrow(_settle(length), _CLASS)
-    else:
-        light = classes.join(heavy, "_anchor", "left_anti")
-        settled = light.repartition("_anchor").sortWithinPartitions("_anchor").mapInArrow(_settle(length), _CLASS)
-        settled = settled.unionByName(_string_by_string(classes.join(heavy, "_anchor", "left_semi"), length))
-    hit = found.select("_doc", "_row", "_class", "_first", "_count").join(settled, "_class")
+def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
+    """_doc, _tag, _runs: runs of strings, with a bit for each that goes, of the texts that lose any."""
+    texts = keyed(docs, text).filter(F.col("_doc") != NO_DOC)
+    copies = later_copies(texts.filter(F.octet_length("_text") >= length), "suffix-copies")
+    found = Classes(texts, _find(length), T.BinaryType(), "suffix-classes", without(texts, copies))
+    open_ = found.open_content().drop("_members")
+    heavy = found.open.filter(F.col("_n") > HEAVY_CLASSES).select("_anchor")
+    light = open_ if heavy.isEmpty() else open_.join(heavy, "_anchor", "left_anti")
+    settled = light.repartition("_anchor").sortWithinPartitions("_anchor").mapInArrow(_settle(length), _MASKS)
+    if light is not open_:
+        settled = settled.unionByName(_string_by_string(open_.join(heavy, "_anchor", "left_semi"), length))
+    later = found.classes.filter("_most > _least").select("_class", "_least", F.lit(0).cast("long").alias("_mask"))
+    told = later.unionByName(settled).groupBy("_class").agg(F.min("_least").alias("_least"), F.bit_or("_mask").alias("_mask"))
+    hit = found.resolved(told)
     hit = hit.withColumn("_mask", F.when(F.col("_doc") > F.col("_least"), F.lit(-1).cast("long")).otherwise(F.col("_mask"))).filter("_mask <> 0")
-    return hit.groupBy("_row", "_doc").agg(F.collect_list(F.struct("_first", "_count", "_mask")).alias("_runs"))
+    whole = copies.select("_doc", "_tag", F.lit(-1).cast("long").alias("_at"), F.lit(-1).cast("long").alias("_mask"))
+    return gathered(hit.select("_doc", "_tag", "_at", "_mask").unionByName(whole))
 
 
 def _string_by_string(classes: DataFrame, length: int) -> DataFrame:
     """The same verdicts for anchors with very many classes: one row for each string, its least doc_id by aggregation."""
-    classes = classes.groupBy("_class", "_span", "_count").agg(F.min("_least").alias("_least"), F.max("_most").alias("_most"))
-    each = classes.select("_class", "_least", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("_at"), "_span")
-    each = each.select("_class", "_least", "_at", F.substring("_span", F.col("_at") + 1, F.lit(length)).alias("_string"))
+    classes = classes.groupBy("_class", "_count", "_content").agg(F.min("_least").alias("_least"))
+    each = classes.select("_class", "_least", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("_at"), "_content")
+    each = each.select("_class", "_least", "_at", F.substring("_content", F.col("_at") + 1, F.lit(length)).alias("_string"))
     first = each.groupBy("_string").agg(F.min("_least").alias("_first_doc"))
     late = each.join(first, "_string").filter(F.col("_first_doc") < F.col("_least"))
-    late = late.groupBy("_class").agg(F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))
-    out = classes.select("_class", "_least", "_most").join(late, "_class", "left")
-    return out.filter("_mask is not null or _most > _least").select("_class", "_least", F.coalesce("_mask", F.lit(0).cast("long")).alias("_mask"))
+    return late.groupBy("_class").agg(F.min("_least").alias("_least"), F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """docs with _n_bytes, _n_removed, _n_spans and _kept (binary: a cut may fall inside a character)."""
-    names = [*docs.columns, "_n_bytes", "_n_removed", "_n_spans", "_kept"]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text, PIECE_BYTES):
-                data, rows = text_bytes(part, text)
-                gone = covered(part.column("_runs"), rows, length)
-                before = np.concatenate(([0], np.cumsum(gone)))[rows]
-                begins = gone.copy()
-                begins[1:] &= ~gone[:-1]
-                edge = rows[:-1][np.diff(rows) > 0]
-                begins[edge] = gone[edge]
-                runs = np.diff(np.concatenate(([0], np.cumsum(begins)))[rows])
-                kept = strings_of(data[~gone], (rows - before)[1:])
-                columns = [c for c, name in zip(part.columns, part.schema.names, strict=True) if name != "_runs"]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(rows)), pa.array(np.diff(before)), pa.array(runs), kept], names=names)
-
-    added = [T.StructField(n, T.LongType()) for n in names[-4:-1]]
-    schema = T.StructType([*docs.schema.fields, *added, T.StructField("_kept", T.BinaryType())])
-    return with_runs(docs, repeats(docs, length, text), text).mapInArrow(cut, schema)
+    def cut(data: np.ndarray, rows: np.ndarray, runs: pa.Array) -> list[pa.Array]:
+        gone = covered(runs, rows, length)
+        before = np.concatenate(([0], np.cumsum(gone)))[rows]
+        begins = gone.copy()
+        begins[1:] &= ~gone[:-1]
+        edge = rows[:-1][np.diff(rows) > 0]
+        begins[edge] = gone[edge]
+        spans = np.diff(np.concatenate(([0], np.cumsum(begins)))[rows])
+        return [pa.array(np.diff(rows)), pa.array(np.diff(before)), pa.array(spans), strings_of(data[~gone], (rows - before)[1:])]
+
+    added = [T.StructField(n, T.LongType()) for n in ("_n_bytes", "_n_removed", "_n_spans")]
+    return cut_texts(docs, repeats(docs, length, text), text, cut, [*added, T.StructField("_kept", T.BinaryType())])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

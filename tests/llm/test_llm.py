@@ -64,6 +64,19 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.remove_repeats(frame(spark, EMPTY)).count() == 0
 
 
+def test_hot_classes_are_dealt_out(spark, con, monkeypatch):
+    """A passage in most documents, with every class taken as hot."""
+    from loomgraph.llm import repeats
+
+    monkeypatch.setattr(repeats, "LEAST_HOT", 0)
+    passage = " ".join(f"p{k}" for k in range(80))
+    data = [(k, f"own{k} text{k}\n{passage}\nend{k}") for k in range(60)]
+    got = sorted((r.doc_id, r._n_removed) for r in suffix_dedup.remove_repeats(frame(spark, data, False)).collect())
+    assert got == sorted((r[0], r[2]) for r in suffix_dedup.brute_force(data))
+    got = {(r._n_words, r._n_removed) for r in substring_dedup.remove_repeats(frame(spark, data, False)).collect()}
+    assert got == {(83, 80)}
+
+
 def test_suffix_dedup_heavy_anchors(spark, monkeypatch):
     """Anchors beyond the bound go string by string, to the same result."""
     data = [(d, t) for d, t in corpus(2) if d is not None]
