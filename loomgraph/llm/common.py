@@ -92,6 +92,7 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20, most_r
         to = min(max(to, at + 1), at + most_rows, rows)
         yield batch.slice(at, to - at)
         base, at = int(ends[to - 1]), to
+    pa.default_memory_pool().release_unused()  # idle workers hold on to what they have
 
 
 def text_bytes(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LETTERED, LOWER, Rolling, fresh, slices, table, text_bytes, word_spans
+from .common import LETTERED, LOWER, Rolling, bound_batches, fresh, slices, table, text_bytes, word_spans
 
 WORDS = 10
 BLOCK = 3
@@ -159,6 +159,7 @@ def item_groups(items: DataFrame, group_chars: int = GROUP_CHARS) -> Iterator[li
 def find(docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", into: str = "_contamination") -> DataFrame:
     """docs with a struct added (or put in place of one of that name): n_words, n_hit, the items whose windows occur, and the runs of hit words."""
     docs = docs.drop(into)
+    bound_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     groups = [context.broadcast(cloudpickle.dumps(compile_patterns(g, n))) for g in item_groups(items)]
 

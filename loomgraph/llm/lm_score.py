@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED, Rolling, materialise, mix, ranges, row_key, slices, table, text_bytes, word_spans
+from .common import LOWER, SPACED, Rolling, bound_batches, materialise, mix, ranges, row_key, slices, table, text_bytes, word_spans
 
 FILTER_BITS = 28
 PROBES = 4
@@ -229,6 +229,7 @@ def train(docs: DataFrame, text: str) -> tuple[Model, DataFrame]:
 
 def score(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    bound_batches(docs.sparkSession)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     rows = docs.select("doc_id", row_key("doc_id", text).alias("_row"), held_out.alias("_held"), F.col(text).alias("_text"))
     model, others = train(rows.filter("not _held").select("_text"), "_text")

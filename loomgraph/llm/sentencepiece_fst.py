@@ -28,15 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Rolling, mix, ranges, slices, table, text_bytes
+from .common import Rolling, bound_batches, ranges, slices, table, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _MARK = MARK.encode()
 _BYTES = Rolling(51)
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Stretches of text whose encoding a task remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 
 
 # -- the model file -----------------------------------------------------------------------------
@@ -415,6 +415,7 @@ def _broadcast(df: DataFrame, path: str):
 def encode(docs: DataFrame, path: str = MODEL, text: str = "text", into: str = "_ids") -> DataFrame:
     """docs with the piece ids of text added (or put in place of a column of that name). path: the model file, on the driver."""
     docs = docs.drop(into)
+    bound_batches(docs.sparkSession)
     model = _broadcast(docs, path)
     names = [*docs.columns, into]
 
