@@ -1,14 +1,14 @@
 """Language-model scoring with a log-frequency Bloom filter of quantised n-gram counts.
 
-Training documents give the counts of all their words and word pairs: workers count what they hold, send hashes and counts to buckets
-by hash, and a bucket adds them up. A bucket then (1) keeps exact word counts, its most frequent ones apart, and (2) fills its slice of the filter:
-a count c is stored as the levels 1 ... 1 + floor(2 log2 c), each a membership of its own, so that a reader probes
-level after level until one is missing. A slice takes its n-grams by falling count, ties by hash, until CAPACITY is
-reached: the count cut-off of a model of fixed size. The filter and the frequent words have fixed sizes, and only they are broadcast; what is counted and shuffled
-grows with the corpus. Counts of words beyond the frequent ones come by a join.
+Workers cut the rows into chunks of FLUSH tokens and ask for the distinct words and word pairs of a chunk: hashes, and how often the
+chunk's training documents hold them, go to 2^SLICES buckets by hash, whatever the partitions. A bucket adds the counts up and makes its
+slice of the filter, as large as its pairs need (BITS_EACH bits a level, at least its share of 2^FILTER_BITS bits): a count c is stored as
+the levels 1 ... 1 + floor(2 log2 c), each a membership of its own, and a reader probes level after level until one is missing.
+The bucket answers each chunk with exact word counts and the levels its slice tells for the pairs, so a slice never leaves its task, no
+n-gram is left out whatever the corpus, and nothing is broadcast. Answers then meet the chunk's rows again by one shuffle.
 
 score: sum over tokens of log10 p(w | before), p = (min(pair, context) + MU * p1(w)) / (context + MU), pair from
-the filter, context and word counts from the frequent words or else the filter. base_score: exact add-half unigrams.
+the filter, context and word counts exact. base_score: exact add-half unigrams.
 
 Defined results: a null or empty text is the end token alone; a document of null doc_id trains and is not held out;
 a repeated row trains again and gets the same scores; without training documents N and V are 0 and every token is
@@ -24,19 +24,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED, Rolling, bound_batches, materialise, mix, ranges, row_key, slices, table, text_bytes, word_spans
+from .common import LOWER, SPACED, Rolling, bound_batches, materialise, mix, ranges, slices, table, text_bytes, word_spans
 
+#: Least size of the whole filter; slices grow beyond their share of it with what they hold.
 FILTER_BITS = 28
+#: The filter has 2^SLICES slices.
+SLICES = 10
 PROBES = 4
 #: Bits of the filter for each stored level.
 BITS_EACH = 12
-#: Words whose exact counts are broadcast (12 bytes each); the others are joined.
+#: Not read any more, as every word's exact count is joined; tests set it.
 FREQUENT = 1 << 19
 MU = 256.0
-FLUSH = 1 << 21
+#: Tokens of a chunk.
+FLUSH = 1 << 20
 PIECE_BYTES = 1 << 19
 _BYTES = Rolling(41)
 END, START = np.uint64(0x5EED0000E0D), np.uint64(0x5EED0005A27)
@@ -84,10 +89,10 @@ class Filter:
     bitmap: np.ndarray
     high: int
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Stored counts by probing level 1, 2, ... until one is missing."""
-        size = FILTER_BITS - self.high
-        base = (keys >> np.uint64(64 - self.high)).astype(np.int64) << size
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Stored levels by probing level 1, 2, ... until one is missing."""
+        size = int(math.log2(len(self.bitmap) * 8)) - self.high
+        base = (keys >> np.uint64(64 - self.high)).astype(np.int64) << size if self.high else np.zeros(len(keys), np.int64)
         level = np.zeros(len(keys), np.int64)
         open_ = np.arange(len(keys))
         at = 1
@@ -99,7 +104,10 @@ class Filter:
             open_ = open_[there]
             level[open_] = at
             at += 1
-        return level_count(level)
+        return level
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        return level_count(self.levels(keys))
 
 
 def _key(hashes: np.ndarray, high: int) -> np.ndarray:
@@ -107,12 +115,15 @@ def _key(hashes: np.ndarray, high: int) -> np.ndarray:
     return hashes & ~np.uint64((1 << (32 - high)) - 1)
 
 
+def room(counts: np.ndarray, least: int) -> int:
+    """Bits, as a power of two and at least 2^least, of a slice that holds n-grams of these counts."""
+    needed = int(levels(counts).sum()) * BITS_EACH
+    return max(least, math.ceil(math.log2(max(needed, 8))))
+
+
 def fill(keys: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
-    """A slice of the filter with the n-grams of largest count that it has room for."""
-    order = np.lexsort((keys, -counts))
-    needed = np.cumsum(levels(counts[order]))
-    order = order[needed <= max((1 << bits) // BITS_EACH, 1)]
-    keys, top = keys[order], levels(counts[order])
+    """A slice of the filter with all of the n-grams."""
+    top = levels(counts)
     flags = np.zeros(1 << bits, bool)
     for level in range(1, int(top.max(initial=0)) + 1):
         for spot in _spots(keys[top >= level], level, bits):
@@ -120,180 +131,167 @@ def fill(keys: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(flags, bitorder="little")
 
 
-def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each is there."""
+    keys = np.sort(keys)
     first = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return keys[first], np.diff(np.append(first, len(keys)))
 
 
-@dataclass
-class Model:
-    train_tokens: int
-    distinct: int
-    #: Frequent words, sorted, and their counts.
-    words: np.ndarray
-    counts: np.ndarray
-    filter: Filter
-
-    def weight(self) -> float:
-        return self.train_tokens + 0.5 * (self.distinct + 1)
-
-
-_SENT = "bucket int, pair boolean, keys binary, counts binary"
-_MADE = "bucket int, tokens long, distinct long, words binary, counts binary, rare_words binary, rare_counts binary, bits binary"
-
-
-def train(docs: DataFrame, text: str) -> tuple[Model, DataFrame]:
-    """The model, and _word, _count of the words that it doesn't hold."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    high = min(max(7, math.ceil(math.log2(2 * partitions))), FILTER_BITS - 10)
-    frequent = FREQUENT >> high
-
-    def flushed(words: list[np.ndarray], both: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for pair, held in ((False, words), (True, both)):
-            keys = np.concatenate(held)
-            keys = _key(keys, high) if pair else keys
-            keys.sort()
-            first = np.flatnonzero(np.concatenate((np.ones(1, bool), keys[1:] != keys[:-1])))
-            counts = np.diff(np.append(first, len(keys))).astype(np.uint32)
-            keys = keys[first]
-            edges = np.searchsorted(keys, np.arange(1 << high, dtype=np.uint64) << np.uint64(64 - high))
-            edges = np.append(edges, len(keys)).tolist()
-            low = (keys >> np.uint64(32 - high)).astype(np.uint32) if pair else keys
-            rows = [(b, low[x:y].tobytes(), counts[x:y].tobytes()) for b, (x, y) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if y > x]
-            for k in range(0, len(rows), 64):
-                bucket, blob, count = zip(*rows[k : k + 64], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket, pa.int32()), pa.array([pair] * len(bucket)), pa.array(blob, pa.binary()), pa.array(count, pa.binary())], names=["bucket", "pair", "keys", "counts"]
-                )
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, both, n = [], [], 0
-        for batch in batches:
-            for part in slices(batch, text, PIECE_BYTES):
-                held, edges = tokens(part, text)
-                words.append(held)
-                both.append(pairs(held, edges))
-                n += len(held)
-                if n >= FLUSH:
-                    yield from flushed(words, both)
-                    words, both, n = [], [], 0
-        if n:
-            yield from flushed(words, both)
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, bool], list] = {}
-        for batch in batches:
-            for bucket, pair, keys, counts in zip(*batch.columns, strict=True):
-                keys = np.frombuffer(keys.as_buffer(), np.uint32 if pair.as_py() else np.uint64)
-                held.setdefault((bucket.as_py(), pair.as_py()), []).append((keys, np.frombuffer(counts.as_buffer(), np.uint32)))
-        for bucket in sorted({b for b, _ in held}):
-            found = []
-            for pair in (False, True):
-                parts = held.pop((bucket, pair), [])
-                keys = np.concatenate([k for k, _ in parts]) if parts else np.zeros(0, np.uint64)
-                found.append(_added(keys, np.concatenate([c for _, c in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)))
-            (words, counts), (low, together) = found
-            both = np.uint64(bucket) << np.uint64(64 - high) | low.astype(np.uint64) << np.uint64(32 - high)
-            bits = fill(np.concatenate((words, both)), np.concatenate((counts, together)), FILTER_BITS - high)
-            top = np.zeros(len(words), bool)
-            top[np.lexsort((words, -counts))[:frequent]] = True
-            row = [bucket, int(counts.sum()), len(words)] + [x.tobytes() for x in (words[top], counts[top], words[~top], counts[~top], bits)]
-            kinds = [pa.int32(), pa.int64(), pa.int64()] + [pa.binary()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=["bucket", "tokens", "distinct", "words", "counts", "rare_words", "rare_counts", "bits"])
-
-    made = materialise(docs.mapInArrow(send, _SENT).repartition("bucket").mapInArrow(gather, _MADE), "lm-counts")
-    bitmap = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    size = len(bitmap) >> high
-    total = distinct = 0
-    words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for row in made.drop("rare_words", "rare_counts").toLocalIterator():
-        total, distinct = total + row.tokens, distinct + row.distinct
-        words.append(np.frombuffer(row.words, np.uint64))
-        counts.append(np.frombuffer(row.counts, np.int64))
-        bitmap[row.bucket * size : (row.bucket + 1) * size] = np.frombuffer(row.bits, np.uint8)
-    words, counts = np.concatenate(words), np.concatenate(counts)
-    order = np.argsort(words)
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for keys, held in zip(batch.column(0), batch.column(1), strict=True):
-                keys, held = np.frombuffer(keys.as_buffer(), np.int64), np.frombuffer(held.as_buffer(), np.int64)
-                for k in range(0, len(keys), 1 << 16):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[k : k + (1 << 16)]), pa.array(held[k : k + (1 << 16)])], names=["_word", "_count"])
-
-    others = made.select("rare_words", "rare_counts").mapInArrow(rare, "_word long, _count long")
-    return Model(total, distinct, words[order], counts[order], Filter(bitmap, high)), others
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, their summed counts, and which of them each row is."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order].astype(np.int64)
+    new = np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]))
+    which = np.empty(len(keys), np.int64)
+    which[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts, which
+
+
+_ASKED = "chunk long, bucket int, words binary, word_counts binary, pairs binary, pair_counts binary, rows binary"
+_ANSWER = "chunk long, bucket int, counts binary, levels binary, tokens long, distinct long"
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields, strict=True)], names=[name for name, _ in fields])
+
+
+def _ask(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[pa.RecordBatch]:
+    """The rows of each chunk, and what it asks of each bucket."""
+    bounds = np.arange(1 << SLICES, dtype=np.uint64) << np.uint64(64 - SLICES)
+
+    def asked(chunk: int, words: list[np.ndarray], both: list[np.ndarray], trains: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        trains, found = np.concatenate(trains), []
+        for held in (words, both):
+            held = np.concatenate(held)
+            keys = _counted(held)[0]
+            trained, times = _counted(held[trains])
+            counts = np.zeros(len(keys), np.uint32)
+            counts[np.searchsorted(keys, trained)] = times
+            found.append((keys, counts, np.append(np.searchsorted(keys, bounds), len(keys)).tolist()))
+        (words, times, at), (both, together, place) = found
+        low = (both >> np.uint64(32 - SLICES)).astype(np.uint32)
+        rows = [
+            (chunk, b, words[at[b] : at[b + 1]].tobytes(), times[at[b] : at[b + 1]].tobytes(), low[place[b] : place[b + 1]].tobytes(), together[place[b] : place[b + 1]].tobytes(), None)
+            for b in range(1 << SLICES)
+            if at[b + 1] > at[b] or place[b + 1] > place[b]
+        ]
+        for k in range(0, len(rows), 256):
+            yield _batch(_ASKED, rows[k : k + 256])
+
+    chunk, n = TaskContext.get().partitionId() << 32, 0
+    words, both, trains = [], [], []
+    for batch in batches:
+        for part in slices(batch, "_text", PIECE_BYTES):
+            held, edges = tokens(part, "_text")
+            words.append(held)
+            both.append(_key(pairs(held, edges), SLICES))
+            trains.append(np.repeat(~part.column("_held").to_numpy(zero_copy_only=False), np.diff(edges)))
+            n += len(held)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(part)
+            yield _batch(_ASKED, [(chunk, None, None, None, None, None, sink.getvalue().to_pybytes())])
+            if n >= flush:
+                yield from asked(chunk, words, both, trains)
+                words, both, trains, n = [], [], [], 0
+                chunk += 1
+    if n:
+        yield from asked(chunk, words, both, trains)
+
+
+def _answer(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Each bucket's tokens and distinct words, and its answers to the chunks; rows come bucket by bucket."""
+
+    def answered(bucket: int, chunks: list[int], held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        words, times, low, together = (np.concatenate(x) for x in zip(*held, strict=True))
+        both = np.uint64(bucket) << np.uint64(64 - SLICES) | low.astype(np.uint64) << np.uint64(32 - SLICES)
+        _, counts, which = _added(words, times)
+        keys, sums, place = _added(both, together)
+        there = sums > 0
+        told = Filter(fill(keys[there], sums[there], room(sums[there], least)), 0).levels(keys).astype(np.uint8)[place]
+        exact = counts[which]
+        yield _batch(_ANSWER, [(None, bucket, None, None, int(counts.sum()), int((counts > 0).sum()))])
+        at = np.cumsum([0, *(len(x[0]) for x in held)]).tolist()
+        to = np.cumsum([0, *(len(x[2]) for x in held)]).tolist()
+        rows = [(c, bucket, exact[at[k] : at[k + 1]].tobytes(), told[to[k] : to[k + 1]].tobytes(), None, None) for k, c in enumerate(chunks)]
+        for k in range(0, len(rows), 256):
+            yield _batch(_ANSWER, rows[k : k + 256])
+
+    now, chunks, held = None, [], []
+    for batch in batches:
+        for chunk, bucket, *blobs in zip(*batch.columns, strict=True):
+            if bucket.as_py() != now:
+                if chunks:
+                    yield from answered(now, chunks, held)
+                now, chunks, held = bucket.as_py(), [], []
+            chunks.append(chunk.as_py())
+            held.append([np.frombuffer(x.as_buffer(), t) for x, t in zip(blobs, (np.uint64, np.uint32, np.uint32, np.uint32), strict=True)])
+    if chunks:
+        yield from answered(now, chunks, held)
 
 
 def score(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     bound_batches(docs.sparkSession)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
-    rows = docs.select("doc_id", row_key("doc_id", text).alias("_row"), held_out.alias("_held"), F.col(text).alias("_text"))
-    model, others = train(rows.filter("not _held").select("_text"), "_text")
-    weight = model.weight()
-    shared = docs.sparkSession.sparkContext.broadcast((model.train_tokens, model.distinct, model.words, model.counts, model.filter.bitmap, model.filter.high))
+    rows = docs.select("doc_id", held_out.alias("_held"), F.col(text).alias("_text"))
+    flush, least = FLUSH, FILTER_BITS - SLICES
+    made = materialise(rows.mapInArrow(lambda batches: _ask(batches, flush), _ASKED), "lm-asked")
+    asked = made.filter("rows is null").drop("rows").repartition("bucket").sortWithinPartitions("bucket")
+    answers = materialise(asked.mapInArrow(lambda batches: _answer(batches, least), _ANSWER), "lm-answers")
+    sums = answers.filter("chunk is null").agg(F.sum("tokens"), F.sum("distinct")).first()
+    total, distinct = int(sums[0] or 0), int(sums[1] or 0)
+    weight = total + 0.5 * (distinct + 1)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "_row", "_held", "n_tokens", "n_known", "base", "score", "_word", "_times"]
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def scored(parts: list[pa.RecordBatch], counts: list[np.ndarray], told: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        split = [tokens(part, "_text") for part in parts]
+        words, which = np.unique(np.concatenate([held for held, _ in split]), return_inverse=True)
+        of = np.unique(np.concatenate([_key(pairs(*x), SLICES) for x in split]), return_inverse=True)[1]
+        exact, stored = np.concatenate(counts), level_count(np.concatenate(told).astype(np.int64))
+        texts = float(exact[np.searchsorted(words, END)])  # as many texts start as end
+        logs, n = np.log10((exact + 0.5) / weight), 0
+        for part, (held, edges) in zip(parts, split, strict=True):
+            own, n = slice(n, n + len(held)), n + len(held)
+            at = exact[which[own]].astype(np.float64)
+            before = np.empty(len(held))
+            before[1:] = at[:-1]
+            before[edges[:-1]] = texts
+            together = np.minimum(stored[of[own]], before)
+            model = np.log10((together + MU * (at + 0.5) / weight) / (before + MU))
+            add = lambda x: pa.array(np.add.reduceat(x, edges[:-1]))  # noqa: E731, B023
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), part.column("_held"), pa.array(np.diff(edges)), add((at > 0).astype(np.int64)), pa.array(np.full(part.num_rows, total)), add(logs[which[own]]), add(model)],
+                names=names,
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *held, bitmap, high = shared.value
-        m = Model(*held, Filter(bitmap, high))
+        now, parts, counts, told = None, [], [], []
         for batch in batches:
-            for part in slices(batch, "_text", PIECE_BYTES):
-                held, edges = tokens(part, "_text")
-                words, which = np.unique(held, return_inverse=True)
-                spot = np.minimum(np.searchsorted(m.words, words), max(len(m.words) - 1, 0))
-                known = m.words[spot] == words if len(m.words) else np.zeros(len(words), bool)
-                exact = np.where(known, m.counts[spot], 0) if len(m.words) else np.zeros(len(words))
-                stored = np.where(known, exact, m.filter.counts(words))
-                base = np.where(known, np.log10((exact + 0.5) / weight), 0.0)[which]
-                at = stored[which]
-                before = np.empty(len(held))
-                before[1:] = at[:-1]
-                before[edges[:-1]] = m.train_tokens and _starts(m)
-                together = np.minimum(m.filter.counts(_key(pairs(held, edges), m.filter.high)), before)
-                model_ = np.log10((together + MU * (at + 0.5) / weight) / (before + MU))
-                add = lambda x: np.add.reduceat(x, edges[:-1]) if len(edges) > 1 else x[:0]
-                none = pa.nulls(part.num_rows, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("_row"), part.column("_held"), pa.array(np.diff(edges)), pa.array(add(known[which].astype(np.int64))), pa.array(add(base)), pa.array(add(model_)), none, none],
-                    names=names,
-                )
-                lone = np.flatnonzero(~known[which])
-                if len(lone):
-                    row = np.searchsorted(edges, lone, side="right") - 1
-                    both, times = np.unique(row.astype(np.int64) << 32 | which[lone], return_counts=True)
-                    row, word = both >> 32, words[both & 0xFFFFFFFF]
-                    at = pa.array(row)
-                    none = [pa.nulls(len(row), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(at), part.column("_row").take(at), part.column("_held").take(at), *none, pa.array(word.view(np.int64)), pa.array(times)], names=names
-                    )
-
-    schema = f"doc_id {kind}, _row long, _held boolean, n_tokens long, n_known long, base double, score double, _word long, _times long"
-    found = materialise(rows.mapInArrow(run, schema), "lm-scored")
-    main = found.filter("_word is null").drop("_word", "_times")
-    copies = main.groupBy("_row").agg(F.count(F.lit(1)).alias("_copies"))
-    rest = found.filter("_word is not null").select("_row", "_word", "_times").join(others, "_word", "left")
-    rest = rest.groupBy("_row").agg(
-        F.sum(F.col("_times") * F.log10((F.coalesce("_count", F.lit(0)) + 0.5) / weight)).alias("_base"),
-        F.sum(F.when(F.col("_count") > 0, F.col("_times")).otherwise(0)).alias("_known"),
-    )
-    out = main.join(rest.join(copies, "_row"), "_row", "left")
-    more = lambda c: F.coalesce(F.col(c) / F.col("_copies"), F.lit(0))
-    return out.select(
-        "doc_id", F.col("_held").alias("held_out"), "n_tokens", (F.col("n_known") + more("_known")).cast("long").alias("n_known"),
-        F.lit(model.train_tokens).cast("long").alias("train_tokens"), (F.col("base") + more("_base")).alias("base_score"), "score",
-    )
-
-
-def _starts(m: Model) -> float:
-    """How many texts start: as many as end."""
-    at = int(np.searchsorted(m.words, END))
-    return float(m.counts[at]) if at < len(m.words) and m.words[at] == END else float(m.filter.counts(np.array([END]))[0])
+            for chunk, _, count, level, blob in zip(*batch.columns, strict=True):
+                if chunk.as_py() != now:
+                    if parts:
+                        yield from scored(parts, counts, told)
+                    now, parts, counts, told = chunk.as_py(), [], [], []
+                if blob.is_valid:
+                    parts += list(pa.ipc.open_stream(blob.as_buffer()))
+                else:  # in the order of buckets, which is that of keys
+                    counts.append(np.frombuffer(count.as_buffer(), np.int64))
+                    told.append(np.frombuffer(level.as_buffer(), np.uint8))
+        if parts:
+            yield from scored(parts, counts, told)
+
+    none = F.lit(None).cast("binary")
+    texts = made.filter("rows is not null").select("chunk", "bucket", none.alias("counts"), none.alias("levels"), "rows")
+    both = texts.unionByName(answers.filter("chunk is not null").select("chunk", "bucket", "counts", "levels", none.alias("rows")))
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return both.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

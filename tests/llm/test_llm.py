@@ -177,6 +177,42 @@ def test_lm_score_on_held_out_texts(spark):
     assert out[0] > out[1]
 
 
+def test_lm_score_leaves_no_pair_out(spark, monkeypatch):
+    """However small the filter starts, scores are those of all pairs' quantised counts; chunks and partitions change nothing."""
+    import math
+    import re
+    from collections import Counter
+
+    data = [(d, t) for d, t in corpus() if d is not None]
+    split = [["<s>", *re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate({c: c + 32 for c in range(65, 91)})), "</s>"] for _, t in data]
+    want = lm_score.brute_force(data)
+    trains = [w for w, row in zip(split, want, strict=True) if not row[1]]
+    words = Counter(x for w in trains for x in w)
+    pairs = Counter(p for w in trains for p in zip(w[:-1], w[1:], strict=True))
+    total = words.total() - words["<s>"]
+    weight = total + 0.5 * len(words)  # the start stands for the one unknown word
+    told = lambda c: math.ceil(2.0 ** (math.floor(2 * math.log2(c) + 1e-9) / 2) - 1e-9) if c else 0
+    p = lambda a, b: (min(told(pairs[a, b]), words[a]) + lm_score.MU * (words[b] + 0.5) / weight) / (words[a] + lm_score.MU)
+    exact = sorted((d, sum(math.log10(p(a, b)) for a, b in zip(w[:-1], w[1:], strict=True)), len(w) - 1) for (d, _), w in zip(data, split, strict=True))
+    for bits, flush, error in ((28, 1 << 20, 1e-6), (12, 500, 0.02)):
+        monkeypatch.setattr(lm_score, "FILTER_BITS", bits)
+        monkeypatch.setattr(lm_score, "FLUSH", flush)
+        got = sorted((r.doc_id, r.score) for r in lm_score.score(frame(spark, data, False)).collect())
+        assert [g[0] for g in got] == [e[0] for e in exact]
+        assert sum(abs(g[1] - e[1]) for g, e in zip(got, exact, strict=True)) <= error * sum(e[2] for e in exact)
+
+
+def test_fill_takes_every_ngram():
+    """Also where a slice is far too small for them."""
+    import numpy as np
+
+    keys, ones = lm_score.mix(np.arange(1, 400, dtype=np.uint64)), np.ones(399, np.int64)
+    whole = lm_score.fill(keys, ones, 10)
+    for k in range(len(keys)):
+        alone = lm_score.fill(keys[k : k + 1], ones[:1], 10)
+        assert ((whole & alone) == alone).all()
+
+
 def test_filter_keeps_counts():
     import numpy as np
 
