@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand on many sites."""
+    """Documents without the lines that stand on many sites; those without any other line stay whole."""
     return line_dedup.drop_boilerplate(docs)
 
 

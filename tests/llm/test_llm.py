@@ -318,6 +318,17 @@ def test_line_dedup(spark):
     assert line_dedup.drop_boilerplate(df.limit(0)).count() == 0
 
 
+def test_line_dedup_takes_long_boilerplate_from_short_pages(spark):
+    """Boilerplate goes also where it is most of a page, from all pages that have a line of their own."""
+    import corpus_pipeline
+
+    header = "a shared header that is far longer than what stands below"
+    data = [(k, f"{header}\nown {k}\n\n{header}", f"site{k}") for k in range(10)] + [(50 + k, f"{header}\n \n{header}", f"site{k}") for k in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, df, SF).collect()}
+    assert got == {d: f"own {d}\n" if d < 50 else t for d, t, _ in data}
+
+
 def test_line_dedup_is_exact_near_the_threshold(spark, monkeypatch):
     data = [(k * 20 + s, f"own {k} {s} " + "x" * 60 + f"\nline {k}", f"site{s}") for k in range(1, 16) for s in range(k)]
     df = spark.createDataFrame(data, "doc_id long, text string, source string")
