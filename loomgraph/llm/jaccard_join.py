@@ -176,12 +176,12 @@ def _distinct(sets: Sets) -> np.ndarray:
 _MEMBERS = "_key long, _set long, _size int, _level int, _sketch binary"
 
 
-def inverted_lists(docs: DataFrame, plan: Plan, text: str) -> tuple[DataFrame, DataFrame]:
+def inverted_lists(docs: DataFrame, plan: Plan, text: str, n: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """Members of the lists of several sets (_key, _set, _size, _level), and the sketches (_set, _level, _sketch)."""
 
     def seen(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for part in slices(batch, text, PIECE_BYTES):
-            yield from _all_keys(Sets(part, text), plan)
+            yield from _all_keys(Sets(part, text, n), plan)
 
     repeated = share(docs, repeated_filter(docs, seen))
 
@@ -189,7 +189,7 @@ def inverted_lists(docs: DataFrame, plan: Plan, text: str) -> tuple[DataFrame, D
         bitmap = opened(repeated)
         for batch in batches:
             for part in slices(batch, text, PIECE_BYTES):
-                sets = Sets(part, text)
+                sets = Sets(part, text, n)
                 lone = np.zeros(len(sets.ids), bool)
                 lone[_distinct(sets)] = True
                 rows, keys = light_keys(sets, plan)
@@ -279,7 +279,7 @@ def _scan(threshold: Fraction, forest: bool):
 _PAIRS = "_a long, _b long, _key long"
 
 
-def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction) -> DataFrame:
+def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction, n: int = SHINGLE) -> DataFrame:
     """_a, _b, _linked: each pair judged on the whole sets, which travel only for sets that are in a pair."""
     spark = docs.sparkSession
     ends = pairs.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct()
@@ -294,7 +294,7 @@ def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction) ->
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text, PIECE_BYTES):
-                sets = Sets(part, text)
+                sets = Sets(part, text, n)
                 own = _distinct(sets)
                 own = own[passes(sieve.value, sets.ids[own]) & (sets.sizes[own] > 0)]
                 if len(own):
@@ -321,31 +321,31 @@ def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction) ->
     return materialise(both.mapInArrow(judge, _PAIRS + ", _linked boolean"), "jaccard-checked")
 
 
-def classes_of(docs: DataFrame, text: str = "text") -> DataFrame:
+def classes_of(docs: DataFrame, text: str = "text", n: int = SHINGLE) -> DataFrame:
     """doc_id, _set, _size of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text, PIECE_BYTES):
-                sets = Sets(part, text)
+                sets = Sets(part, text, n)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets.ids.view(np.int64)), pa.array(sets.sizes.astype(np.int64))], names=["doc_id", "_set", "_size"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, _set long, _size long")
 
 
-def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESHOLD) -> DataFrame:
-    """doc_id, _size, _links (of the class, checked), component_id."""
+def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESHOLD, n: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, over shingles of n words."""
     bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col(text).alias("_text"))
-    rows = materialise(classes_of(docs, "_text"), "jaccard-classes")
+    rows = materialise(classes_of(docs, "_text", n), "jaccard-classes")
     named = rows.filter("_size > 0").groupBy("_set", "_size").agg(F.min("doc_id").alias("_name"))
-    sizes = {int(n): int(c) for n, c in named.groupBy("_size").agg(F.count(F.lit(1))).collect()}
+    sizes = {int(size): int(c) for size, c in named.groupBy("_size").agg(F.count(F.lit(1))).collect()}
     plan = Plan(sizes, threshold)
-    lists, drawn = inverted_lists(docs, plan, "_text")
+    lists, drawn = inverted_lists(docs, plan, "_text", n)
     forest = _dealt(lists, drawn).mapInArrow(_scan(threshold, True), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
     # a pair that fails may do so in several lists; all lists of its two ends are scanned again
-    checked = _check(materialise(forest, "jaccard-forest"), docs, "_text", threshold)
+    checked = _check(materialise(forest, "jaccard-forest"), docs, "_text", threshold, n)
     links = checked.filter("_linked").select("_a", "_b")
     failed = checked.filter("not _linked").select("_a", "_b")
     if not failed.isEmpty():
@@ -356,7 +356,7 @@ def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESH
         again = _dealt(again.withColumn("_group", F.coalesce("_group", "_set")), drawn)
         more = again.mapInArrow(_scan(threshold, False), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
         more = more.join(failed, ["_a", "_b"], "left_anti")
-        rechecked = _check(materialise(more, "jaccard-rest"), docs, "_text", threshold)
+        rechecked = _check(materialise(more, "jaccard-rest"), docs, "_text", threshold, n)
         links = links.unionByName(rechecked.filter("_linked").select("_a", "_b"))
     groups = connected(links).withColumnsRenamed({"id": "_set", "component": "_group"})
     named = named.select("_set", "_name").join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
@@ -366,9 +366,9 @@ def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESH
     return out.select("doc_id", F.col("_size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one_of_each(docs: DataFrame, text: str = "text", threshold: Fraction = THRESHOLD) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, text: str = "text", threshold: Fraction = THRESHOLD, n: int = SHINGLE) -> DataFrame:
     """docs without the rows whose component has a smaller doc_id; of rows that repeat a doc_id all stay."""
-    found = components(docs, text, threshold).filter("doc_id <> component_id").select("doc_id").distinct()
+    found = components(docs, text, threshold, n).filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -160,6 +160,20 @@ def test_near_duplicate_stage_keeps_the_first(spark):
     assert kept == {d for d, _, c in jaccard_join.brute_force(data) if d == c}
 
 
+def test_near_duplicates_by_five_words(spark):
+    """Copies with a passage added, 0.8 to 0.9 alike, are kept by three words and 0.9 and go by five words and 0.8."""
+    from fractions import Fraction
+
+    base = " ".join(f"b{k}" for k in range(300))
+    data = [(d, t) for d, t in corpus() if d is not None]
+    data += [(900 + k, base + "".join(f" x{k}y{j}" for j in range(added))) for k, added in enumerate((0, 15, 40, 70, 90))]
+    df = frame(spark, data, False)
+    got = sorted(tuple(r) for r in jaccard_join.components(df, threshold=Fraction(4, 5), n=5).collect())
+    assert got == sorted(jaccard_join.brute_force(data, 5, Fraction(4, 5)))
+    kept = {r.doc_id for r in jaccard_join.keep_one_of_each(df, threshold=Fraction(4, 5), n=5).collect()}
+    assert 902 not in kept and 902 in {d for d, _, c in jaccard_join.brute_force(data) if d == c}
+
+
 def test_lm_score(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "FREQUENT", 1 << 7)  # so that most words come by the join
     data = corpus()
