@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +69,27 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """run, for mapInArrow, so that a worker hands its memory back when a task ends: it idles beside the next stage's."""
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            _POWERS.__init__()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return wrapped
+
+
 def row_key(*names: str) -> Column:
     """64 bits that tell rows apart by doc_id and text, so that a doc_id that comes with several texts keeps them apart."""
     return F.xxhash64(*[F.col(x) for x in names])
@@ -153,6 +176,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+class Powers:
+    """Powers of the base of Rolling and of its inverse, as far as a task has needed them; they don't travel."""
+
+    BASE = 0x9E3779B97F4A7C15 & ~7 | 5
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __reduce__(self):
+        return Powers, ()
+
+    def reach(self, n: int) -> None:
+        if len(self.up) < n:
+            for name, base in (("up", self.BASE), ("down", pow(self.BASE, -1, 1 << 64))):
+                steps = np.full(max(n, 1 << 19), base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps))
+
+
+_POWERS = Powers()
+
+
 class Rolling:
     """Polynomial hashes of any stretch of a sequence, from running sums modulo 2**64.
 
@@ -162,39 +207,30 @@ class Rolling:
     def __init__(self, seed: int):
         self.seed = seed
         rng = np.random.default_rng(seed)
-        self.base = int(rng.integers(1 << 62)) * 4 + 1 | 4
         self.bytes = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.up = self.down = np.ones(1, np.uint64)
+        self.salt = np.uint64(rng.integers(1 << 62))
 
     def __reduce__(self):
         return Rolling, (self.seed,)
 
-    def _powers(self, n: int) -> None:
-        if len(self.up) < n:
-            n = max(n, 1 << 20)
-            for name, base in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
-                steps = np.full(n, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps))
-
     def sums(self, symbols: np.ndarray) -> np.ndarray:
         """Running sums of symbols: uint8 bytes, or uint64 values already spread."""
-        self._powers(len(symbols) + 1)
-        values = self.bytes[symbols] if symbols.dtype == np.uint8 else symbols
+        _POWERS.reach(len(symbols) + 1)
+        values = self.bytes[symbols] if symbols.dtype == np.uint8 else symbols ^ self.salt
         out = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(values * self.up[: len(symbols)], out=out[1:])
+        np.cumsum(values * _POWERS.up[: len(symbols)], out=out[1:])
         return out
 
     def stretch(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of symbols[start:end] for each pair."""
-        return mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * np.uint64(_ODD))
+        return mix((sums[ends] - sums[starts]) * _POWERS.down[starts] + (ends - starts).astype(np.uint64) * np.uint64(_ODD))
 
     def grams(self, symbols: np.ndarray, n: int) -> np.ndarray:
         """Hash of each n symbols in a row."""
         if len(symbols) < n:
             return np.zeros(0, np.uint64)
         sums = self.sums(symbols)
-        return mix((sums[n:] - sums[:-n]) * self.down[: len(symbols) - n + 1] + np.uint64(n * _ODD % (1 << 64)))
+        return mix((sums[n:] - sums[:-n]) * _POWERS.down[: len(symbols) - n + 1] + np.uint64(n * _ODD % (1 << 64)))
 
 
 _MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACED, Rolling, bound_batches, materialise, mix, ranges, slices, table, text_bytes, word_spans
+from .common import LOWER, SPACED, Rolling, bound_batches, lean, materialise, mix, ranges, slices, table, text_bytes, word_spans
 
 #: Least size of the whole filter; slices grow beyond their share of it with what they hold.
 FILTER_BITS = 28
@@ -241,9 +241,9 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     rows = docs.select("doc_id", held_out.alias("_held"), F.col(text).alias("_text"))
     flush, least = FLUSH, FILTER_BITS - SLICES
-    made = materialise(rows.mapInArrow(lambda batches: _ask(batches, flush), _ASKED), "lm-asked")
+    made = materialise(rows.mapInArrow(lean(lambda batches: _ask(batches, flush)), _ASKED), "lm-asked")
     asked = made.filter("rows is null").drop("rows").repartition("bucket").sortWithinPartitions("bucket")
-    answers = materialise(asked.mapInArrow(lambda batches: _answer(batches, least), _ANSWER), "lm-answers")
+    answers = materialise(asked.mapInArrow(lean(lambda batches: _answer(batches, least)), _ANSWER), "lm-answers")
     sums = answers.filter("chunk is null").agg(F.sum("tokens"), F.sum("distinct")).first()
     total, distinct = int(sums[0] or 0), int(sums[1] or 0)
     weight = total + 0.5 * (distinct + 1)
@@ -291,7 +291,7 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     texts = made.filter("rows is not null").select("chunk", "bucket", none.alias("counts"), none.alias("levels"), "rows")
     both = texts.unionByName(answers.filter("chunk is not null").select("chunk", "bucket", "counts", "levels", none.alias("rows")))
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return both.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(run, schema)
+    return both.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(lean(run), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

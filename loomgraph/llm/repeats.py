@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchors import Runs, membership_filter, opened, passes, repeated_filter, share
-from .common import bound_batches, bundled, materialise, slices
+from .common import bound_batches, bundled, lean, materialise, slices
 
 PIECE_BYTES = 1 << 18
 
@@ -121,7 +121,7 @@ class Classes:
                         names=["_anchor", "_class", "_doc", "_tag", "_at"],
                     )
 
-        return self.docs.mapInArrow(run, "_anchor long, _class long, _doc long, _tag int, _at long")
+        return self.docs.mapInArrow(lean(run), "_anchor long, _class long, _doc long, _tag int, _at long")
 
     def resolved(self, told: DataFrame) -> DataFrame:
         """Occurrences joined with told by _class. Classes of a thousandth of all occurrences or more, at most a thousand of
@@ -177,7 +177,7 @@ class Classes:
                 yield merged(held)
 
         kinds = [T.LongType(), T.LongType(), T.IntegerType(), T.LongType(), T.LongType(), self.kind]
-        return self.docs.mapInArrow(run, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
+        return self.docs.mapInArrow(lean(run), T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
 
 
 #: Pieces that a hot class is dealt over, and the fewest occurrences of a hot class.
@@ -252,8 +252,8 @@ def cut_texts(docs: DataFrame, runs: DataFrame, text: str, cut: Cut, added: list
                 at = to
 
     rows = docs.select(bundled(docs, others).alias("_rest"), F.col(text).alias("_text"), doc_key(docs).alias("_doc"), F.hash(F.col(text)).alias("_tag"))
-    wire = rows.mapInArrow(pack, T.StructType([rest, T.StructField("_text", T.BinaryType()), *keys, T.StructField("_size", T.LongType())]))
+    wire = rows.mapInArrow(lean(pack), T.StructType([rest, T.StructField("_text", T.BinaryType()), *keys, T.StructField("_size", T.LongType())]))
     joined = wire.join(runs, ["_doc", "_tag"], "left").select("_rest", "_text", "_size", "_runs")
-    out = joined.mapInArrow(unpack, T.StructType([rest, T.StructField("_text", T.StringType()), *added]))
+    out = joined.mapInArrow(lean(unpack), T.StructType([rest, T.StructField("_text", T.StringType()), *added]))
     back = [F.col("_text").alias(c) if c == text else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns if c not in new]
     return out.select(*back, *new)

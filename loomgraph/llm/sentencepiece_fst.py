@@ -7,12 +7,13 @@ Composing with an input gives a lattice of arcs whose tropical shortest path, ea
 grammar exactly one path stays finite, the one that merging finds. Pieces whose scores tie in the
 model, the runs of white space marks, merge after all others and from the left; they are put in last.
 
-Texts are cut where no piece can cross, each distinct stretch is composed once per task, and all stretches of a
+Texts are cut where no piece can cross (between characters that stand side by side in no piece), each distinct stretch is composed once per task, and all stretches of a
 block are searched side by side, one position after another. The model file is read on the driver and its arrays
 are broadcast; their size depends on the vocabulary alone. Nothing is shuffled.
 
 Defined results: a null text has null ids and decodes to null, an empty text has none; a white space mark in the text itself
-decodes to a space, which is the one case where the round trip is not exact; repeated rows encode alike; other columns pass through;
+decodes to a space, which is the one case where the round trip is not exact; an id that is null or outside the vocabulary
+decodes to a replacement character; repeated rows encode alike; other columns pass through;
 an empty table gives no rows.
 """
 
@@ -28,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Rolling, bound_batches, ranges, slices, table, text_bytes
+from .common import Rolling, bound_batches, lean, ranges, slices, table, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _MARK = MARK.encode()
-_BYTES = Rolling(51)
+_BYTES, _CHECK = Rolling(51), Rolling(52)
 PIECE_BYTES = 1 << 19
 #: Stretches of text whose encoding a task remembers.
 REMEMBERED = 1 << 19
@@ -196,9 +197,11 @@ class Transducer:
         kept = [order[t] for t in [*single, *merged] if t not in dead]
         self.longest = max(map(len, raw))
         self.arcs = Table(self._hash(raw), np.array(kept, np.int32))
-        #: Bytes that no piece of several characters has: texts can be cut around them.
-        inside = {b for t in merged for b in self._inner(t)}
-        self.apart = np.array([b < 0x20 and b not in inside for b in range(256)])
+        #: Whether some piece has a character that ends in the first byte before one that begins with the second: elsewhere no piece crosses.
+        self.crossed = np.zeros((256, 256), bool)
+        for text in (*merged, *self.late):
+            for a, b in zip(text[:-1], text[1:], strict=True):
+                self.crossed[self._inner(a)[-1], self._inner(b)[0]] = True
         self.byte = np.zeros(256, np.int32)
         for n, (text, _, kind) in enumerate(file.pieces):
             if kind == BYTE:
@@ -340,7 +343,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
+        self.known = self.check = np.zeros(0, np.uint64)
         self.first, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -349,26 +352,27 @@ class Encoder:
         n = len(data)
         if not n:
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
-        space = data == 0x20
-        apart = self.fst.apart[data]
         begin = np.zeros(n, bool)
         begin[0] = True
-        begin[1:] = (space[1:] & ~space[:-1]) | apart[1:] | apart[:-1]
+        begin[1:] = ~self.fst.crossed[data[:-1], data[1:]] & (data[1:] & 0xC0 != 0x80)
         begin[offsets[:-1][offsets[:-1] < n]] = True
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], n)
-        keys = _BYTES.stretch(_BYTES.sums(data), starts, ends)
+        keys, second = (h.stretch(h.sums(data), starts, ends) for h in (_BYTES, _CHECK))
         distinct, lead, which = np.unique(keys, return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, distinct)
         new = np.ones(len(distinct), bool)
         inside = at < len(self.known)
         new[inside] = self.known[at[inside]] != distinct[inside]
         if new.any():
-            self._learn(data, distinct[new], starts[lead[new]], ends[lead[new]])
+            self._learn(data, distinct[new], second[lead[new]], starts[lead[new]], ends[lead[new]])
             at = np.searchsorted(self.known, distinct)
         at = at[which]
-        sizes = self.size[at]
-        ids = self.pool[ranges(self.first[at], sizes)]
+        if np.array_equal(self.check[at], second):
+            sizes = self.size[at]
+            ids = self.pool[ranges(self.first[at], sizes)]
+        else:  # two stretches of one hash: nothing remembered counts
+            ids, sizes = self.fst.shortest(data, starts, ends)
         total = np.concatenate(([0], np.cumsum(sizes)))
         counts = np.diff(total[np.searchsorted(starts, offsets)])
         if len(self.known) > REMEMBERED:
@@ -393,7 +397,7 @@ class Encoder:
         out[np.arange(len(data)) + np.repeat(shift[1:], np.diff(offsets))] = data
         return out, offsets + shift
 
-    def _learn(self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    def _learn(self, data: np.ndarray, keys: np.ndarray, second: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         own = data[ranges(starts, ends - starts)]
         till = np.cumsum(ends - starts)
         ids, counts = self.fst.shortest(own, np.concatenate(([0], till[:-1])), till)
@@ -401,10 +405,32 @@ class Encoder:
         self.pool = np.concatenate((self.pool, ids.astype(np.int32)))
         known = np.concatenate((self.known, keys))
         order = np.argsort(known, kind="stable")
-        self.known = known[order]
+        self.known, self.check = known[order], np.concatenate((self.check, second))[order]
         self.first, self.size = np.concatenate((self.first, first))[order], np.concatenate((self.size, counts))[order]
 
 
+class Decoder:
+    """The text of lists of ids. An id outside the vocabulary, or null, is one replacement character."""
+
+    def __init__(self, fst: Transducer):
+        pool = [*fst.pool, "\ufffd".encode()]
+        self.sizes, self.prefix = np.array([len(x) for x in pool]), fst.prefix
+        self.first, self.data = np.concatenate(([0], np.cumsum(self.sizes)[:-1])), np.frombuffer(b"".join(pool), np.uint8)
+
+    def __call__(self, held: pa.ListArray) -> pa.Array:
+        last = len(self.sizes) - 1
+        flat = held.flatten().cast(pa.int64()).fill_null(-1).to_numpy()
+        flat = np.where((flat >= 0) & (flat < last), flat, last)
+        counts = held.value_lengths().fill_null(0).to_numpy()
+        raw = self.data[ranges(self.first[flat], self.sizes[flat])]
+        till = np.concatenate(([0], np.cumsum(self.sizes[flat])))[np.concatenate(([0], np.cumsum(counts)))]
+        texts = [
+            None if null else raw[a + (self.prefix and b > a and raw[a] == 0x20) : b].tobytes().decode(errors="replace")
+            for a, b, null in zip(till[:-1].tolist(), till[1:].tolist(), held.is_null().to_pylist(), strict=True)
+        ]
+        return pa.array(texts, pa.string())
+
+
 def _broadcast(df: DataFrame, path: str):
     from pyspark import cloudpickle
 
@@ -412,55 +438,52 @@ def _broadcast(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Transducer(f.read())))
 
 
-def encode(docs: DataFrame, path: str = MODEL, text: str = "text", into: str = "_ids") -> DataFrame:
-    """docs with the piece ids of text added (or put in place of a column of that name). path: the model file, on the driver."""
-    docs = docs.drop(into)
+_IDS = T.ArrayType(T.IntegerType())
+
+
+def encode(docs: DataFrame, path: str = MODEL, text: str = "text", into: str = "_ids", decoded: str | None = None) -> DataFrame:
+    """docs with the piece ids of text added (or put in place of a column of that name). path: the model file, on the driver.
+
+    decoded names a column for the text that the ids decode to, made in the same pass.
+    """
+    added = [T.StructField(into, _IDS), *([T.StructField(decoded, T.StringType())] if decoded else [])]
+    docs = docs.drop(*[f.name for f in added])
     bound_batches(docs.sparkSession)
     model = _broadcast(docs, path)
-    names = [*docs.columns, into]
+    names = [*docs.columns, *[f.name for f in added]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import cloudpickle
 
-        encoder = Encoder(cloudpickle.loads(model.value))
+        fst = cloudpickle.loads(model.value)
+        encoder, decoder = Encoder(fst), Decoder(fst)
         for batch in batches:
             for part in slices(batch, text, PIECE_BYTES):
                 ids, counts = encoder(*text_bytes(part, text))
                 edges = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
                 null = part.column(text).is_null() if part.column(text).null_count else None
                 lists = pa.ListArray.from_arrays(edges, pa.array(ids, pa.int32()), mask=null)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, *([decoder(lists)] if decoded else [])], names=names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(rows: DataFrame, path: str = MODEL, ids: str = "_ids", into: str = "_decoded") -> DataFrame:
     """rows with the text of the ids added (or put in place of a column of that name); bytes that are no UTF-8 become replacement characters."""
     rows = rows.drop(into)
-    with open(path, "rb") as f:
-        fst = Transducer(f.read())
-    pool, prefix = fst.pool, fst.prefix
-    shared = rows.sparkSession.sparkContext.broadcast(pool)
+    model = _broadcast(rows, path)
     names = [*rows.columns, into]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = np.array([len(x) for x in shared.value])
-        first, data = np.concatenate(([0], np.cumsum(sizes)[:-1])), np.frombuffer(b"".join(shared.value), np.uint8)
+        from pyspark import cloudpickle
+
+        decoder = Decoder(cloudpickle.loads(model.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                held = part.column(ids)
-                flat = held.flatten().to_numpy()
-                counts = held.value_lengths().fill_null(0).to_numpy()
-                raw = data[ranges(first[flat], sizes[flat])]
-                till = np.concatenate(([0], np.cumsum(sizes[flat])))[np.concatenate(([0], np.cumsum(counts)))]
-                texts = [
-                    None if null else raw[a + (prefix and b > a and raw[a] == 0x20) : b].tobytes().decode(errors="replace")
-                    for a, b, null in zip(till[:-1].tolist(), till[1:].tolist(), held.is_null().to_pylist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns, decoder(part.column(ids))], names=names)
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(into, T.StringType())]))
+    return rows.mapInArrow(lean(run), T.StructType([*rows.schema.fields, T.StructField(into, T.StringType())]))
 
 
 def digest(rows: DataFrame) -> DataFrame:
@@ -472,5 +495,5 @@ def digest(rows: DataFrame) -> DataFrame:
     )
 
 
-def query(spark, sf_dir: str) -> DataFrame:
-    return digest(decode(encode(table(spark, sf_dir, "documents").select("doc_id", "text"))))
+def query(spark, sf_dir: str, path: str = MODEL) -> DataFrame:
+    return digest(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded="_decoded"))

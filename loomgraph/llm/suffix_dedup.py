@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchors import Runs
-from .common import Rolling, byte_grams, ranges, strings_of, table, text_bytes
+from .common import Rolling, byte_grams, lean, ranges, strings_of, table, text_bytes
 from .repeats import NO_DOC, Classes, Found, covered, cut_texts, gathered, keyed, later_copies, without
 
 LENGTH = 50
@@ -165,7 +165,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFr
     open_ = found.open_content().drop("_members")
     heavy = found.open.filter(F.col("_n") > HEAVY_CLASSES).select("_anchor")
     light = open_ if heavy.isEmpty() else open_.join(heavy, "_anchor", "left_anti")
-    settled = light.repartition("_anchor").sortWithinPartitions("_anchor").mapInArrow(_settle(length), _MASKS)
+    settled = light.repartition("_anchor").sortWithinPartitions("_anchor").mapInArrow(lean(_settle(length)), _MASKS)
     if light is not open_:
         settled = settled.unionByName(_string_by_string(open_.join(heavy, "_anchor", "left_semi"), length))
     later = found.classes.filter("_most > _least").select("_class", "_least", F.lit(0).cast("long").alias("_mask"))
