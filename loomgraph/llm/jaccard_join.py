@@ -9,8 +9,8 @@ the most that linked sets can differ in, so linked sets agree in at least one wh
 part holds the sets that agree in it. Sizes are cut into levels so that both sides use the same number of parts.
 The boundary is where, summed over the sizes found, listing subsets costs less than scanning lists.
 
-Keys that only one set has are dropped by a filter of fixed size. Each list is scanned in one task with a parity
-sketch of every member: the bits in which two sketches differ can only be fewer than the shingles in which the sets
+Keys that only one set has are dropped by a filter of fixed size. Each list is scanned in one task, a long one as
+pairs of its blocks, with a parity sketch of every member: the bits in which two sketches differ can only be fewer than the shingles in which the sets
 differ, so what a scan drops is proven not to link. Of what it keeps only a spanning forest leaves the task, never
 the pairs of a list. Forest edges are checked against the whole sets; where one fails, its lists are scanned again
 and all pairs between different components that pass the sketch are checked, so no link is lost.
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import opened, passes, repeated_filter, share
-from .common import LOWER, SPACED, Rolling, bound_batches, materialise, mix, ranges, slices, table, text_bytes, word_spans
+from .common import LOWER, SPACED, Rolling, bound_batches, bundled, lean, materialise, mix, ranges, slices, table, text_bytes, word_spans
 from .components import connected
 
 SHINGLE = 3
@@ -44,7 +44,8 @@ THRESHOLD = Fraction(9, 10)
 STEP = 1.35
 #: Rows of an inverted list that scanning for one key is taken to cost, against 1 for listing a subset.
 SCAN_COST = 8
-MOST_LIGHT = 29
+#: Members of a list that one task scans; a longer list is dealt out as pairs of blocks of about so many.
+LONG = 1024
 _BYTES, _WORDS = Rolling(31), Rolling(32)
 _LOW48 = np.uint64((1 << 48) - 1)
 PIECE_BYTES = 1 << 19
@@ -56,11 +57,16 @@ class Plan:
     def __init__(self, sizes: dict[int, int], threshold: Fraction = THRESHOLD):
         self.t = threshold
         most = max(sizes, default=1)
-        cost = [0.0] * (MOST_LIGHT + 1)
-        for n, rows in sizes.items():
-            for x in range(MOST_LIGHT + 1):
-                cost[x] += rows * (self.subsets(n) if n <= x else SCAN_COST * (self.apart(n, n) + 1))
-        self.light = min(range(MOST_LIGHT + 1), key=lambda x: (cost[x], x))
+        scanning = {n: rows * SCAN_COST * (self.apart(n, n) + 1) for n, rows in sizes.items()}
+        cost = least = sum(scanning.values())
+        self.light, listing = 0, 0
+        for n in sorted(sizes):  # the boundary of least cost; beyond the point where listing alone costs more there is none
+            listing += sizes[n] * self.subsets(n)
+            if listing > least:
+                break
+            cost += sizes[n] * self.subsets(n) - scanning[n]
+            if cost < least:
+                self.light, least = n, cost
         self.bounds = [self.light + 1]
         while self.bounds[-1] <= most:
             self.bounds.append(max(math.ceil(self.bounds[-1] * STEP), self.bounds[-1] + 2))
@@ -209,27 +215,43 @@ def inverted_lists(docs: DataFrame, plan: Plan, text: str, n: int = SHINGLE) ->
                     columns = [pa.array(keys.view(np.int64)), pa.array(sets.ids[rows].view(np.int64)), pa.array(sets.sizes[rows], pa.int32()), pa.array(np.full(len(rows), level), pa.int32()), blobs]
                     yield pa.RecordBatch.from_arrays(columns, names=["_key", "_set", "_size", "_level", "_sketch"])
 
-    rows = materialise(docs.mapInArrow(members, _MEMBERS), "jaccard-members")
+    rows = materialise(docs.mapInArrow(lean(members), _MEMBERS), "jaccard-members")
     several = rows.groupBy("_key").agg(F.min("_set").alias("_a"), F.max("_set").alias("_b")).filter("_a < _b").select("_key")
     lists = rows.drop("_sketch").join(several, "_key", "left_semi").distinct()
     return materialise(lists, "jaccard-lists"), rows.filter("_sketch is not null").select("_set", "_level", "_sketch").distinct()
 
 
-def _dealt(lists: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Whole lists, each in one partition, with their sketches."""
-    return lists.join(drawn, ["_set", "_level"]).repartition("_key").sortWithinPartitions("_key", "_set")
+def _dealt(lists: DataFrame, drawn: DataFrame, long: int) -> DataFrame:
+    """Units to scan, each in one partition, with the sketches: whole lists, and each two blocks of a list of over `long` members.
+
+    A list of m members is cut into k = m / long blocks by a hash of the set, so that each member is in k units. _side tells the blocks of a unit apart.
+    """
+    blocks = lists.groupBy("_key").agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > long).select("_key", F.ceil(F.col("_m") / long).cast("int").alias("_k"))
+    blocks = materialise(blocks, "jaccard-long")
+    if blocks.isEmpty():
+        rows = lists.withColumns({"_unit": F.lit(0), "_side": F.lit(0)})
+    else:
+        rows = lists.join(blocks, "_key", "left").withColumn("_side", F.when(F.col("_k").isNull(), 0).otherwise(F.pmod(F.xxhash64("_set"), F.col("_k")).cast("int")))
+        pairs = F.transform(F.sequence(F.lit(0), F.col("_k") - 1), lambda j: F.least(j, F.col("_side")) * F.col("_k") + F.greatest(j, F.col("_side")))
+        rows = rows.withColumn("_unit", F.explode(F.when(F.col("_k").isNull(), F.array(F.lit(0))).otherwise(pairs))).drop("_k")
+    return rows.join(drawn, ["_set", "_level"]).repartition("_key", "_unit").sortWithinPartitions("_key", "_unit", "_set")
 
 
 def _scan(threshold: Fraction, forest: bool):
-    """Pairs of each list that the sketches allow: a spanning forest, or all between different components."""
+    """Pairs of each unit that the sketches allow: a spanning forest, or all between different components."""
     up, down = threshold.numerator, threshold.denominator
 
-    def pairs(sets: np.ndarray, sizes: np.ndarray, drawn: np.ndarray, groups: np.ndarray) -> Iterator[tuple[int, int]]:
+    def pairs(sets: np.ndarray, sizes: np.ndarray, drawn: np.ndarray, groups: np.ndarray, sides: np.ndarray) -> Iterator[tuple[int, int]]:
         n = len(sets)
-        root = np.arange(n)
+        root, left = np.arange(n), n - 1
+        across = sides.min() != sides.max()  # members of one block meet in a unit of their own
         for a in range(n - 1):
+            if forest and not left:  # one tree already
+                break
             rest = np.arange(a + 1, n)
             rest = rest[(root[rest] != root[a]) if forest else (groups[rest] != groups[a])]
+            if across:
+                rest = rest[sides[rest] != sides[a]]
             if not len(rest):
                 continue
             small, large = np.minimum(sizes[a], sizes[rest]), np.maximum(sizes[a], sizes[rest])
@@ -240,6 +262,7 @@ def _scan(threshold: Fraction, forest: bool):
                     if root[a] == root[b]:
                         continue
                     root[root == root[b]] = root[a]
+                    left -= 1
                 yield int(sets[a]), int(sets[b])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,35 +270,50 @@ def _scan(threshold: Fraction, forest: bool):
         for batch in batches:
             whole = pa.Table.from_batches([batch])
             whole = whole if rest is None else pa.concat_tables([rest, whole]).combine_chunks()
-            keys = whole.column("_key").to_numpy()
-            cut = int(np.flatnonzero(np.diff(keys))[-1]) + 1 if len(keys) and keys[0] != keys[-1] else 0
+            edges = units(whole)
+            cut = edges[-2] if len(edges) > 1 else 0
             yield from lists(whole.slice(0, cut))
             rest = whole.slice(cut)
         if rest is not None:
             yield from lists(rest)
 
+    def units(whole: pa.Table) -> list[int]:
+        """Where units start, and the end."""
+        keys, unit = (whole.column(c).to_numpy() for c in ("_key", "_unit"))
+        return [0, *(np.flatnonzero((keys[1:] != keys[:-1]) | (unit[1:] != unit[:-1])) + 1).tolist(), len(keys)]
+
     def lists(whole: pa.Table) -> Iterator[pa.RecordBatch]:
         if not whole.num_rows:
             return
+        sides = whole.column("_side").to_numpy()
         keys = whole.column("_key").to_numpy()
         sets, sizes = whole.column("_set").to_numpy(), whole.column("_size").to_numpy().astype(np.int64)
         groups = whole.column("_group").to_numpy() if not forest else sets
         drawn = whole.column("_sketch").to_pylist()
-        edges = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]))
+        edges = units(whole)
         out: dict[tuple[int, int], int] = {}
-        for at, to in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+
+        def told() -> pa.RecordBatch:
+            ends = np.array(list(out), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array(list(out.values()), pa.int64())], names=["_a", "_b", "_key"])
+
+        for at, to in zip(edges[:-1], edges[1:], strict=True):
             if to - at < 2:
                 continue
             block = np.frombuffer(b"".join(drawn[at:to]), np.uint8).reshape(to - at, -1)
-            for a, b in pairs(sets[at:to], sizes[at:to], block.view(np.uint64), groups[at:to]):
+            for a, b in pairs(sets[at:to], sizes[at:to], block.view(np.uint64), groups[at:to], sides[at:to]):
                 out.setdefault((min(a, b), max(a, b)), int(keys[at]))
+                if len(out) >= HELD_PAIRS:
+                    yield told()
+                    out.clear()
         if out:
-            ends = np.array(list(out), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array(list(out.values()), pa.int64())], names=["_a", "_b", "_key"])
+            yield told()
 
     return run
 
 
+#: Pairs that a task holds before it sends them on.
+HELD_PAIRS = 1 << 16
 _PAIRS = "_a long, _b long, _key long"
 
 
@@ -302,7 +340,7 @@ def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction, n:
                         [pa.array(sets.ids[own].view(np.int64)), pa.array([sets.of(k).tobytes() for k in own.tolist()], pa.binary())], names=["_set", "_shingles"]
                     )
 
-    held = docs.mapInArrow(wanted, "_set long, _shingles binary").join(ends, "_set", "left_semi")
+    held = docs.mapInArrow(lean(wanted), "_set long, _shingles binary").join(ends, "_set", "left_semi")
     held = materialise(held.groupBy("_set").agg(F.max("_shingles").alias("_shingles")), "jaccard-sets")
     both = pairs.join(held.withColumnsRenamed({"_set": "_a", "_shingles": "_x"}), "_a").join(held.withColumnsRenamed({"_set": "_b", "_shingles": "_y"}), "_b")
     up, down = threshold.numerator, threshold.denominator
@@ -318,24 +356,30 @@ def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction, n:
                 linked.append(down * same >= up * (len(joined) - same))
             yield pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_b"), batch.column("_key"), pa.array(linked, pa.bool_())], names=["_a", "_b", "_key", "_linked"])
 
-    return materialise(both.mapInArrow(judge, _PAIRS + ", _linked boolean"), "jaccard-checked")
+    return materialise(both.mapInArrow(lean(judge), _PAIRS + ", _linked boolean"), "jaccard-checked")
 
 
 def classes_of(docs: DataFrame, text: str = "text", n: int = SHINGLE) -> DataFrame:
-    """doc_id, _set, _size of every row."""
+    """doc_id, _row (a hash of the text), _set, _size of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text, PIECE_BYTES):
                 sets = Sets(part, text, n)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets.ids.view(np.int64)), pa.array(sets.sizes.astype(np.int64))], names=["doc_id", "_set", "_size"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("_row"), pa.array(sets.ids.view(np.int64)), pa.array(sets.sizes.astype(np.int64))], names=["doc_id", "_row", "_set", "_size"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, _set long, _size long")
+    return docs.select("doc_id", text, F.xxhash64(text).alias("_row")).mapInArrow(lean(run), f"doc_id {kind}, _row long, _set long, _size long")
 
 
 def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESHOLD, n: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id, over shingles of n words."""
+    out = _labelled(docs, text, threshold, n)
+    return out.select("doc_id", F.col("_size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _labelled(docs: DataFrame, text: str, threshold: Fraction, n: int) -> DataFrame:
+    """doc_id, _row, _set, _size, component_id of every row; null for an empty set or a component without a doc_id."""
     bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col(text).alias("_text"))
     rows = materialise(classes_of(docs, "_text", n), "jaccard-classes")
@@ -343,7 +387,7 @@ def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESH
     sizes = {int(size): int(c) for size, c in named.groupBy("_size").agg(F.count(F.lit(1))).collect()}
     plan = Plan(sizes, threshold)
     lists, drawn = inverted_lists(docs, plan, "_text", n)
-    forest = _dealt(lists, drawn).mapInArrow(_scan(threshold, True), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
+    forest = _dealt(lists, drawn, LONG).mapInArrow(lean(_scan(threshold, True)), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
     # a pair that fails may do so in several lists; all lists of its two ends are scanned again
     checked = _check(materialise(forest, "jaccard-forest"), docs, "_text", threshold, n)
     links = checked.filter("_linked").select("_a", "_b")
@@ -353,8 +397,8 @@ def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESH
         ends = failed.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct()
         again = lists.join(lists.join(ends, "_set", "left_semi").select("_key").distinct(), "_key", "left_semi")
         again = again.join(groups.withColumnsRenamed({"id": "_set", "component": "_group"}), "_set", "left")
-        again = _dealt(again.withColumn("_group", F.coalesce("_group", "_set")), drawn)
-        more = again.mapInArrow(_scan(threshold, False), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
+        again = _dealt(materialise(again.withColumn("_group", F.coalesce("_group", "_set")), "jaccard-again"), drawn, LONG)
+        more = again.mapInArrow(lean(_scan(threshold, False)), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
         more = more.join(failed, ["_a", "_b"], "left_anti")
         rechecked = _check(materialise(more, "jaccard-rest"), docs, "_text", threshold, n)
         links = links.unionByName(rechecked.filter("_linked").select("_a", "_b"))
@@ -362,14 +406,19 @@ def components(docs: DataFrame, text: str = "text", threshold: Fraction = THRESH
     named = named.select("_set", "_name").join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
     label = named.groupBy("_group").agg(F.min("_name").alias("component_id"))
     of_set = named.select("_set", "_group").join(label, "_group").select("_set", "component_id")
-    out = rows.join(of_set, "_set", "left")
-    return out.select("doc_id", F.col("_size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows.join(of_set, "_set", "left")
 
 
 def keep_one_of_each(docs: DataFrame, text: str = "text", threshold: Fraction = THRESHOLD, n: int = SHINGLE) -> DataFrame:
-    """docs without the rows whose component has a smaller doc_id; of rows that repeat a doc_id all stay."""
-    found = components(docs, text, threshold, n).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs without the rows whose component has a smaller doc_id, or any where theirs is null.
+
+    Rows are judged by doc_id and text: where a doc_id comes with several texts, each stays or goes by itself, and of equal rows all stay or all go.
+    """
+    found = _labelled(docs, text, threshold, n).filter(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = found.select(F.col("doc_id").alias("_gone_doc"), F.col("_row").alias("_gone_row")).distinct()
+    rows = docs.select(bundled(docs, docs.columns).alias("_in"), F.col("doc_id").alias("_doc"), F.xxhash64(text).alias("_row"))
+    kept = rows.join(found, (F.col("_row") == F.col("_gone_row")) & F.col("_doc").eqNullSafe(F.col("_gone_doc")), "left_anti")
+    return kept.select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -390,7 +439,7 @@ def brute_force(docs: list[tuple], n: int = SHINGLE, threshold: Fraction = THRES
             if label[a] != label[b] and sets[a] and (both := len(sets[a] & sets[b])) * threshold.denominator >= threshold.numerator * (len(sets[a]) + len(sets[b]) - both):
                 old, new = label[a], label[b]
                 label = [new if x == old else x for x in label]
-    first: dict[int, int] = {}
+    first: dict[int, int | None] = {}
     for (doc, _), x in zip(docs, label, strict=True):
-        first[x] = min(first.get(x, doc), doc)
+        first[x] = min((d for d in (first.get(x), doc) if d is not None), default=None)
     return [(doc, len(s), first[x] if s else doc) for (doc, _), s, x in zip(docs, sets, label, strict=True)]
