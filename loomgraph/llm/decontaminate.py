@@ -6,8 +6,8 @@ length m are searched together: a shift table over blocks of up to three words s
 a block that ends a pattern has shift 0, its hash selects a bucket of patterns, and the words themselves are
 compared. The text is cut into lanes that skip along side by side, so that each step is one array operation.
 
-The benchmark must fit a stated bound to be broadcast: it is taken in groups of at most group_chars characters,
-each searched in a pass of its own over the same batch; nothing grows with the documents and nothing is shuffled.
+What is broadcast has a stated bound: the benchmark is taken in groups of at most group_chars characters, each in a
+pass of its own over the documents; nothing grows with the documents and nothing is shuffled.
 
 Defined results: a null text has no words and no hit; a null item text or id is no item; items that repeat an id
 count once; equal windows of several items count for each of them; empty tables give no rows or no hits; every
@@ -17,22 +17,23 @@ input column passes through and one struct column is added under a name that the
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LETTERED, LOWER, Rolling, bound_batches, fresh, slices, table, text_bytes, word_spans
+from .common import LETTERED, LOWER, Rolling, bound_batches, fresh, lean, materialise, ranges, slices, table, text_bytes, word_spans
 
 WORDS = 10
 BLOCK = 3
 TABLE_BITS = 20
 LANE = 256
-#: Characters of benchmark text that one group of patterns may come from (a few hundred MB of tables at most).
+#: Characters of benchmark text that one group of patterns may come from: some 60 bytes a word, so 200 MB of tables at most, or one item where that alone is longer.
 GROUP_CHARS = 16 << 20
 
 ADDED = T.StructType(
@@ -69,19 +70,22 @@ def _words(text: str) -> list[bytes]:
 
 
 class Patterns:
-    """Shift table, suffix buckets and the windows themselves, for patterns of m words."""
+    """Shift table, suffix buckets and the windows themselves, as places in the words of the items, for patterns of m words."""
 
-    def __init__(self, m: int, windows: dict[tuple[bytes, ...], list[str]]):
-        self.m, self.block = m, min(BLOCK, m)
-        self.windows, self.items = list(windows), list(windows.values())
-        joined = np.frombuffer(b" ".join(w for x in self.windows for w in x), np.uint8)
-        hashes = Words(joined, np.array([0, len(joined)])).hashes.reshape(len(self.windows), m)
+    def __init__(self, m: int, held: Words, first: np.ndarray, items: np.ndarray):
+        """held: the items' words; first: where each distinct window starts in them; items: (window, item) pairs in order of the window."""
+        self.m, self.block, self.held, self.first = m, min(BLOCK, m), held, first
+        self.edges, self.items = np.searchsorted(items[:, 0], np.arange(len(first) + 1)), items[:, 1]
+        hashes = held.hashes[first[:, None] + np.arange(m)]
         self.shift = np.full(1 << TABLE_BITS, m - self.block + 1, np.uint8 if m < 250 else np.int64)
         for end in range(self.block, m + 1):
             last = blocks(hashes[:, end - self.block : end])
             np.minimum.at(self.shift, slot(last), m - end)
         order = np.argsort(last, kind="stable")
-        self.suffix, self.which, self.hashes = last[order], order, hashes
+        self.suffix, self.which = last[order], order
+
+    def items_of(self, pattern: int) -> np.ndarray:
+        return self.items[self.edges[pattern] : self.edges[pattern + 1]]
 
     def search(self, words: Words) -> Iterator[tuple[int, int]]:
         """(first word, pattern) of each occurrence inside one row."""
@@ -110,10 +114,10 @@ class Patterns:
             some = low + k < high
             start, pattern = first[some], self.which[low[some] + k]
             for j in range(m):
-                same = words.hashes[start + j] == self.hashes[pattern, j]
+                same = words.hashes[start + j] == self.held.hashes[self.first[pattern] + j]
                 start, pattern = start[same], pattern[same]
             for s, p in zip(start.tolist(), pattern.tolist(), strict=True):
-                if words.window(s, m) == self.windows[p]:
+                if words.window(s, m) == self.held.window(int(self.first[p]), m):
                     yield s, p
 
 
@@ -130,16 +134,25 @@ def slot(block: np.ndarray) -> np.ndarray:
     return (block >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
-def compile_patterns(items: list[tuple[str, str]], n: int = WORDS) -> list[Patterns]:
-    by_length: dict[int, dict[tuple[bytes, ...], list[str]]] = {}
-    for item, text in items:
-        words = _words(text)
-        m = min(n, len(words))
-        for k in range(len(words) - m + 1 if m else 0):
-            held = by_length.setdefault(m, {}).setdefault(tuple(words[k : k + m]), [])
-            if item not in held:
-                held.append(item)
-    return [Patterns(m, by_length[m]) for m in sorted(by_length)]
+def compile_patterns(items: list[tuple[str, str]], n: int = WORDS) -> tuple[list[str], list[Patterns]]:
+    """The distinct item ids in order, and the patterns of each length."""
+    names = sorted({item for item, _ in items})
+    number = {item: k for k, item in enumerate(names)}
+    raw = [text.encode() for _, text in items]
+    held = Words(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw], dtype=np.int64))))
+    owner, counts = np.array([number[item] for item, _ in items], np.int64), np.diff(held.rows)
+    sums, out = _GRAMS.sums(held.hashes), []
+    for m in sorted(set(np.minimum(counts, n).tolist()) - {0}):
+        rows = np.flatnonzero(np.minimum(counts, n) == m)
+        windows = counts[rows] - m + 1
+        start, item = ranges(held.rows[rows], windows), np.repeat(owner[rows], windows)
+        _, lead, which = np.unique(_GRAMS.stretch(sums, start, start + m), return_index=True, return_inverse=True)
+        odd = np.zeros(len(start), bool)  # windows that share a hash but not the words stand for themselves
+        for j in range(m):
+            odd |= held.hashes[start + j] != held.hashes[start[lead][which] + j]
+        which[odd] = len(lead) + np.arange(int(odd.sum()))
+        out.append(Patterns(m, held, np.concatenate((start[lead], start[odd])), np.unique(np.stack((which, item), 1), axis=0)))
+    return names, out
 
 
 def item_groups(items: DataFrame, group_chars: int = GROUP_CHARS) -> Iterator[list[tuple[str, str]]]:
@@ -157,26 +170,49 @@ def item_groups(items: DataFrame, group_chars: int = GROUP_CHARS) -> Iterator[li
 
 
 def find(docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", into: str = "_contamination") -> DataFrame:
-    """docs with a struct added (or put in place of one of that name): n_words, n_hit, the items whose windows occur, and the runs of hit words."""
+    """docs with a struct added (or put in place of one of that name): n_words, n_hit, the items whose windows occur, and the runs of hit words.
+
+    A benchmark of several groups takes a pass for each, whose findings the next one adds to; between passes the rows are written to the
+    shared folder and the group's broadcast is destroyed, so that no worker ever holds more than one group.
+    """
     docs = docs.drop(into)
     bound_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
-    groups = [context.broadcast(cloudpickle.dumps(compile_patterns(g, n))) for g in item_groups(items)]
+    shared = None
+    for group in itertools.chain(item_groups(items), [None]):
+        if group is None and shared is not None:
+            break
+        if shared is not None:
+            docs = materialise(docs, "contamination")
+            shared.destroy()
+        shared = context.broadcast(cloudpickle.dumps(compile_patterns(group or [], n)))
+        docs = _search(docs, shared, text, into)
+    return docs
+
+
+def _search(docs: DataFrame, shared: Broadcast, text: str, into: str) -> DataFrame:
+    """One pass with one group, on top of what earlier ones have found."""
+    found = into in docs.columns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled = [cloudpickle.loads(g.value) for g in groups]
+        names, compiled = cloudpickle.loads(shared.value)
         for whole in batches:
             for batch in slices(whole, text):
                 words = Words(*text_bytes(batch, text))
                 cover = np.zeros(len(words.starts) + 1, np.int32)
                 items: dict[int, set[str]] = {}
-                for group in compiled:
-                    for patterns in group:
-                        for start, p in patterns.search(words):
-                            cover[start] += 1
-                            cover[start + patterns.m] -= 1
-                            row = int(np.searchsorted(words.rows, start, side="right")) - 1
-                            items.setdefault(row, set()).update(patterns.items[p])
+                if found:
+                    for row, before in enumerate(batch.column(into).to_pylist()):
+                        for run in before["spans"]:
+                            cover[words.rows[row] + run["from"]] += 1
+                            cover[words.rows[row] + run["to"]] -= 1
+                        items[row] = set(before["items"])
+                for patterns in compiled:
+                    for start, p in patterns.search(words):
+                        cover[start] += 1
+                        cover[start + patterns.m] -= 1
+                        row = int(np.searchsorted(words.rows, start, side="right")) - 1
+                        items.setdefault(row, set()).update(names[k] for k in patterns.items_of(p))
                 hit = np.cumsum(cover[:-1]) > 0
                 before = np.concatenate(([0], np.cumsum(hit)))[words.rows]
                 counts, hits = np.diff(words.rows), np.diff(before)
@@ -184,9 +220,11 @@ def find(docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text",
                     {"n_words": c, "n_hit": h, "items": sorted(items.get(r, ())), "spans": _runs(hit[words.rows[r] : words.rows[r + 1]]) if h else []}
                     for r, (c, h) in enumerate(zip(counts.tolist(), hits.tolist(), strict=True))
                 ]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, _ADDED_ARROW)], names=[*batch.schema.names, into])
+                kept = [c for c in batch.schema.names if c != into]
+                yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(rows, _ADDED_ARROW)], names=[*kept, into])
 
-    return docs.mapInArrow(scan, T.StructType([*docs.schema.fields, T.StructField(into, ADDED)]))
+    rest = [f for f in docs.schema.fields if f.name != into]
+    return docs.mapInArrow(lean(scan), T.StructType([*rest, T.StructField(into, ADDED)]))
 
 
 def _runs(hit: np.ndarray) -> list[dict[str, int]]:
