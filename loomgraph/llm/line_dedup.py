@@ -4,9 +4,9 @@ A line is boilerplate when it stands on at least min_sites distinct sites. Per l
 the sites merges by aggregation, with the number of rows beside it. Fewer rows than min_sites settle a line as
 ordinary; an estimate over what min_sites filled registers give settles it as boilerplate, since a filled
 register needs a site of its own. Lines between the two get exact distinct counts, so the verdict is exact.
-Boilerplate goes from every document that has a line of its own, however small a part of it that is. A document of boilerplate
-lines alone is itself a copy that lies on many sites, and stays whole for near-duplicate removal to judge. The registered
-query keeps the narrower rule of its SQL (spare_half): there documents of which boilerplate is over half of the characters stay whole too.
+Boilerplate goes from every document, however large a part of it that is. A document of boilerplate lines alone is
+itself a copy that lies on many sites; spare_copies, off unless asked for, leaves such a document whole for a later
+near-duplicate stage to judge.
 
 Lines are compared without outer ASCII white space; lines of white space alone always stay, and what stays keeps
 its own spelling. Defined results: a null text stays null and has no lines; a null site is no site; a null doc_id
@@ -71,7 +71,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, relative_sd: float
 
 
 def _checked(small: DataFrame) -> DataFrame:
-    """Broadcast where a count shows that it is small, else joined by shuffle."""
+    """Broadcast where a count shows that it is small, else joined by shuffle, where adaptive execution splits a line that most rows have."""
     return F.broadcast(small) if small.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES else small
 
 
@@ -83,26 +83,20 @@ def removed_lines(docs: DataFrame, min_sites: int, text: str, site: str) -> Data
     return hit.groupBy("_row", "_doc").agg(F.array_distinct(F.collect_list("_pos")).alias("_gone"))
 
 
-def _goes(text: Column, spare_half: bool) -> Column:
-    """Whether the row loses its boilerplate: not where it has no other line or, with spare_half, where that is over half of its characters."""
-    if not spare_half:
-        lines = F.filter("_all", lambda x: F.btrim(x, F.lit(SPACES)) != "")
-        return F.coalesce(F.size(lines) > F.size("_gone"), F.lit(False))
-    chars = F.aggregate("_gone", F.lit(0), lambda n, i: n + F.length(F.get(F.col("_all"), i)))
-    return F.coalesce(2 * chars <= F.length(text), F.lit(False))
-
-
 def _kept(text: Column) -> Column:
-    lines = F.filter("_all", lambda x, i: ~F.array_contains(F.col("_gone"), i))
-    return F.when(F.col("_goes"), F.array_join(lines, "\n")).otherwise(text)
+    """The text without the lines at the positions in _gone; positions are told apart by a hash set, so a long text costs no more a line."""
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("_gone"))
+    return F.when(F.col("_goes"), F.array_join(F.transform(stay, lambda i: F.get(F.col("_all"), i)), "\n")).otherwise(text)
 
 
-def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, text: str = "text", site: str = "source", count: bool = False, spare_half: bool = False) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, text: str = "text", site: str = "source", count: bool = False, spare_copies: bool = False) -> DataFrame:
     """docs with cross-site boilerplate lines gone from text; count adds _n_removed."""
     gone = removed_lines(docs, min_sites, text, site).withColumnsRenamed({"_row": "_gone_row", "_doc": "_gone_doc"})
     rows = docs.select(bundled(docs, docs.columns).alias("_in"), row_key("doc_id", text).alias("_key"), F.col("doc_id").alias("_doc"), F.col(text).alias("_text"))
     joined = rows.join(gone, (F.col("_key") == F.col("_gone_row")) & F.col("_doc").eqNullSafe(F.col("_gone_doc")), "left")
-    joined = joined.withColumn("_all", F.when(F.col("_gone").isNotNull(), F.split("_text", "\n"))).withColumn("_goes", _goes(F.col("_text"), spare_half))
+    joined = joined.withColumn("_all", F.when(F.col("_gone").isNotNull(), F.split("_text", "\n")))
+    own = F.size(F.filter("_all", lambda x: F.btrim(x, F.lit(SPACES)) != "")) > F.size("_gone")
+    joined = joined.withColumn("_goes", F.coalesce(own if spare_copies else F.col("_gone").isNotNull(), F.lit(False)))
     joined = joined.withColumn("_new", _kept(F.col("_text")))
     shown = {text: F.col("_new")}
     if "n_chars" in docs.columns:
@@ -115,7 +109,7 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, text: str = "t
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    out = drop_boilerplate(docs, count=True, spare_half=True)
+    out = drop_boilerplate(docs, count=True)
     return out.select(
         "doc_id",
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_kept_lines"),
@@ -133,11 +127,9 @@ WITH l AS (
   SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {MIN_SITES}
 ), h AS (
   SELECT l.*, b.k IS NOT NULL AS found FROM l LEFT JOIN b USING (k)
-), m AS (
-  SELECT *, found AND 2 * coalesce(sum(length(line)) FILTER (found) OVER (PARTITION BY doc_id), 0) <= length(text) AS gone FROM h
 ), p AS (
-  SELECT doc_id, coalesce(count(*) FILTER (NOT gone), 0) AS kept, count(*) FILTER (gone) AS n,
-    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS t FROM m GROUP BY doc_id
+  SELECT doc_id, coalesce(count(*) FILTER (NOT found), 0) AS kept, count(*) FILTER (found) AS n,
+    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT found), '') AS t FROM h GROUP BY doc_id
 )
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE greatest(kept, 1) END::BIGINT AS n_kept_lines,
   coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
