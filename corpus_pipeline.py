@@ -7,6 +7,8 @@ encoding, and components over similarity links, are beyond SQL; tests hold the s
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +23,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand on many sites; those without any other line stay whole."""
-    return line_dedup.drop_boilerplate(docs)
+    return line_dedup.drop_boilerplate(docs, spare_copies=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest doc_id, of each group that similarity links."""
-    return jaccard_join.keep_one_of_each(docs)
+    """One document, the one of the smallest doc_id, of each group that similarity links: 0.8 or more of five-word shingles."""
+    return jaccard_join.keep_one_of_each(docs, threshold=Fraction(4, 5), n=5)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_pieces, and whether decoding the ids gives the text back."""
-    held = sentencepiece_fst.decode(sentencepiece_fst.encode(docs.select("doc_id", "text")))
+    held = sentencepiece_fst.encode(docs.select("doc_id", "text"), decoded="_decoded")
     return held.select(
         "doc_id",
         F.col("_ids").alias("ids"),
