@@ -4,16 +4,20 @@ Documents with equal sets are one class from the start, however many there are.
 if they share at least ceil(t * b) shingles and differ in at most (a + b)(1 - t)/(1 + t) of them.
 
 Light pairs (b up to the boundary): each set lists its subsets of the fixed size that a partner of size b must
-share; linked sets have a subset in common. Heavy pairs: the shingles of a set are dealt into one part more than
-the most that linked sets can differ in, so linked sets agree in at least one whole part; the inverted list of a
-part holds the sets that agree in it. Sizes are cut into levels so that both sides use the same number of parts.
-The boundary is where, summed over the sizes found, listing subsets costs less than scanning lists.
-
-Keys that only one set has are dropped by a filter of fixed size. Each list is scanned in one task, a long one as
-pairs of its blocks, with a parity sketch of every member: the bits in which two sketches differ can only be fewer than the shingles in which the sets
-differ, so what a scan drops is proven not to link. Of what it keeps only a spanning forest leaves the task, never
-the pairs of a list. Forest edges are checked against the whole sets; where one fails, its lists are scanned again
-and all pairs between different components that pass the sketch are checked, so no link is lost.
+share; linked sets have a subset in common. Heavy pairs (b beyond it): inverted lists of shingles are scanned. In an
+order that all sets share, with shingles of one set first and those of many sets last, linked sets have a shingle in
+common among the first a - ceil(t * a) + 1 of each, so only those are looked up, and a set that has so many shingles
+of its own needs no list at all. The boundary is where, summed over the sizes found, listing subsets costs less than
+scanning lists.
+
+Which shingles and subsets occur more than once, and which often, two filters of fixed size tell; they err only in
+letting too much through. A parity sketch stands for each member of a list: the bits in
+which two sketches differ can only be fewer than the shingles in which the sets differ, so what a sketch drops is
+proven not to link. First one member of each list meets every other, which joins groups of near copies without
+bringing a list together. Lists whose members are then still in several components are scanned, each in one task, a
+long one as pairs of its blocks; of what a scan keeps only trees between components leave the task, never the pairs
+of a list. All pairs are checked against the whole sets; where one from a scan fails, its lists are scanned again and
+all pairs between different components that pass the sketch are checked, so no link is lost.
 
 Defined results: lower-cases A-Z; a set of fewer words than a shingle is the whole sequence; a text that is null
 or has no word is an empty set and links with nothing; rows that repeat a doc_id and text are one class, each row
@@ -33,31 +37,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import opened, passes, repeated_filter, share
+from .anchors import FILTER_BITS, opened, passes, repeated_filters, share
 from .common import LOWER, SPACED, Rolling, bound_batches, bundled, lean, materialise, mix, ranges, slices, table, text_bytes, word_spans
 from .components import connected
 
 SHINGLE = 3
 #: 100 * intersection >= 90 * union.
 THRESHOLD = Fraction(9, 10)
-#: Ratio of the bounds of a level of sizes; over 1 / THRESHOLD, so that partners are at most one level apart.
-STEP = 1.35
-#: Rows of an inverted list that scanning for one key is taken to cost, against 1 for listing a subset.
+#: What looking up one shingle costs, against 1 for listing a subset: rows of an inverted list, and the sketches that meet there.
 SCAN_COST = 8
+#: A shingle that this many tasks and flushes of tasks have seen, at two each at most, comes last in the common order; size of the filter that tells.
+COMMON, COMMON_BITS = 64, 24
 #: Members of a list that one task scans; a longer list is dealt out as pairs of blocks of about so many.
-LONG = 1024
+LONG = 4096
 _BYTES, _WORDS = Rolling(31), Rolling(32)
 _LOW48 = np.uint64((1 << 48) - 1)
 PIECE_BYTES = 1 << 19
 
 
 class Plan:
-    """Boundary, levels, parts and subset sizes for a threshold."""
+    """Boundary, prefixes and subset sizes for a threshold."""
 
     def __init__(self, sizes: dict[int, int], threshold: Fraction = THRESHOLD):
         self.t = threshold
-        most = max(sizes, default=1)
-        scanning = {n: rows * SCAN_COST * (self.apart(n, n) + 1) for n, rows in sizes.items()}
+        scanning = {n: rows * SCAN_COST * self.prefix(n) for n, rows in sizes.items()}
         cost = least = sum(scanning.values())
         self.light, listing = 0, 0
         for n in sorted(sizes):  # the boundary of least cost; beyond the point where listing alone costs more there is none
@@ -67,10 +70,16 @@ class Plan:
             cost += sizes[n] * self.subsets(n) - scanning[n]
             if cost < least:
                 self.light, least = n, cost
-        self.bounds = [self.light + 1]
-        while self.bounds[-1] <= most:
-            self.bounds.append(max(math.ceil(self.bounds[-1] * STEP), self.bounds[-1] + 2))
-        self.parts = [self.apart(b - 1, b - 1) + 1 for b in self.bounds[1:]]
+        #: The least size that can link with a heavy one.
+        self.listed = math.ceil(self.t * (self.light + 1))
+
+    def prefix(self, n: int) -> int:
+        """Shingles, in the common order, one of which any set that links with one of size n has among its own first ones."""
+        return n - self.shared(n) + 1
+
+    def sketch_bytes(self, n: int) -> int:
+        """A power of two, with eight bits for each shingle in which linked sets of size n may differ."""
+        return max(32, 1 << (self.apart(n, n)).bit_length())
 
     def shared(self, larger: int) -> int:
         return math.ceil(self.t * larger)
@@ -86,9 +95,6 @@ class Plan:
     def subsets(self, n: int) -> int:
         return sum(math.comb(n, self.shared(m)) for m in range(n, self.reach(n) + 1))
 
-    def level(self, n: int) -> int:
-        return int(np.searchsorted(self.bounds, n, side="right")) - 1
-
 
 class Sets:
     """Distinct shingle hashes (48 bits) of a block of rows, end to end, sorted within a row."""
@@ -120,27 +126,28 @@ class Sets:
         return self.hashes[self.edges[k] : self.edges[k + 1]]
 
 
-def sketch_bytes(parts: int) -> int:
-    return 32 if parts <= 16 else 64 if parts <= 64 else 128 if parts <= 160 else 256
+def spread(sets: Sets, rows: np.ndarray) -> np.ndarray:
+    """The shingles of rows, end to end, as filters and the common order take them."""
+    return mix(sets.hashes[ranges(sets.edges[rows], sets.sizes[rows])] + np.uint64(1000))
 
 
-def heavy_keys(sets: Sets, plan: Plan) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(level, rows, keys): a key for each part of each row that takes part in a level; keys[i] has one row per part."""
-    reach = np.array([plan.reach(int(n)) for n in range(int(sets.sizes.max(initial=0)) + 1)])
-    for level, parts in enumerate(plan.parts):
-        low, high = plan.bounds[level], plan.bounds[level + 1]
-        rows = np.flatnonzero((sets.sizes > 0) & (sets.sizes < high) & (reach[sets.sizes] >= low))
-        if level:
-            rows = rows[sets.sizes[rows] >= plan.bounds[level - 1]]
-        if not len(rows):
-            continue
-        sizes = sets.sizes[rows]
-        spread = mix(sets.hashes[ranges(sets.edges[rows], sizes)] + np.uint64(1000 + level))
-        cell = (spread >> np.uint64(40)).astype(np.int64) * parts >> 24
-        sums = np.zeros(len(rows) * parts, np.uint64)
-        np.add.at(sums, np.repeat(np.arange(len(rows)) * parts, sizes) + cell, mix(spread))
-        salt = np.tile(np.arange(parts, dtype=np.uint64) + np.uint64(level << 32), len(rows))
-        yield level, rows, mix(sums ^ mix(salt + np.uint64(5))).reshape(len(rows), parts)
+def heavy_keys(sets: Sets, plan: Plan, repeated: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, shingles) that are looked up: of the first ones in the common order, those that other sets may have."""
+    prefix = np.array([plan.prefix(n) for n in range(int(sets.sizes.max(initial=0)) + 1)])
+    rows = np.flatnonzero((sets.sizes > 0) & (sets.sizes >= plan.listed))
+    shingles = spread(sets, rows)
+    often = passes(repeated, shingles).astype(np.uint64)
+    owner = np.repeat(np.arange(len(rows)), sets.sizes[rows])
+    some = np.bincount(owner, weights=1 - often.astype(float), minlength=len(rows)) < prefix[sets.sizes[rows]]
+    rows, held = rows[some], some[owner]  # most sets have enough shingles of their own
+    shingles, often = shingles[held], often[held]
+    often[often > 0] += passes(common, shingles[often > 0]).astype(np.uint64)
+    owner = np.repeat(np.arange(len(rows)), sets.sizes[rows])
+    order = np.lexsort((often << np.uint64(62) | shingles >> np.uint64(2), owner))
+    first = np.cumsum(sets.sizes[rows]) - sets.sizes[rows]
+    chosen = order[ranges(first, prefix[sets.sizes[rows]])]
+    chosen = chosen[often[chosen] > 0]
+    return rows[owner[chosen]], mix(shingles[chosen] ^ np.uint64(0x11))
 
 
 def light_keys(sets: Sets, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
@@ -160,18 +167,22 @@ def light_keys(sets: Sets, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def sketches(sets: Sets, rows: np.ndarray, width: int) -> np.ndarray:
-    """Parity sketches of width bytes: a bit flips for each shingle that falls on it."""
-    sizes = sets.sizes[rows]
-    spot = (mix(sets.hashes[ranges(sets.edges[rows], sizes)] + np.uint64(7)) >> np.uint64(64 - int(math.log2(width * 8)))).astype(np.int64)
-    counts = np.bincount(np.repeat(np.arange(len(rows)) * width * 8, sizes) + spot, minlength=len(rows) * width * 8)
-    return np.packbits((counts & 1).astype(bool).reshape(len(rows), width * 8), axis=1)
+def sketches(sets: Sets, rows: np.ndarray, plan: Plan) -> Iterator[bytes]:
+    """Parity sketches: a bit flips for each shingle that falls on it. Folding one by halves gives that of half the width."""
+    for row in rows.tolist():
+        width = plan.sketch_bytes(int(sets.sizes[row]))
+        spot = (mix(sets.of(row) + np.uint64(7)) & np.uint64(width * 8 - 1)).astype(np.int64)
+        yield np.packbits(np.bincount(spot, minlength=width * 8) & 1, bitorder="little").tobytes()
 
 
-def _all_keys(sets: Sets, plan: Plan) -> Iterator[np.ndarray]:
-    yield light_keys(sets, plan)[1]
-    for _, _, keys in heavy_keys(sets, plan):
-        yield keys.ravel()
+def folded(drawn: list[bytes], width: int) -> np.ndarray:
+    """Sketches of at least that width, folded to it: a row of words each."""
+    out = np.zeros((len(drawn), width // 8), np.uint64)
+    for size in {len(x) for x in drawn}:
+        at = [k for k, x in enumerate(drawn) if len(x) == size]
+        held = np.frombuffer(b"".join(drawn[k] for k in at), np.uint64).reshape(len(at), size // width, width // 8)
+        out[at] = np.bitwise_xor.reduce(held, axis=1)
+    return out
 
 
 def _distinct(sets: Sets) -> np.ndarray:
@@ -179,46 +190,77 @@ def _distinct(sets: Sets) -> np.ndarray:
     return np.unique(sets.ids, return_index=True)[1]
 
 
-_MEMBERS = "_key long, _set long, _size int, _level int, _sketch binary"
+_MEMBERS = "_key long, _set long, _size int, _sketch binary"
 
 
 def inverted_lists(docs: DataFrame, plan: Plan, text: str, n: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """Members of the lists of several sets (_key, _set, _size, _level), and the sketches (_set, _level, _sketch)."""
+    """Members of the lists of several sets (_key, _set, _size), and their sketches (_set, _sketch)."""
 
     def seen(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for part in slices(batch, text, PIECE_BYTES):
-            yield from _all_keys(Sets(part, text, n), plan)
+            sets = Sets(part, text, n)
+            yield light_keys(sets, plan)[1]
+            own = _distinct(sets)
+            yield spread(sets, own[sets.sizes[own] >= plan.listed])
 
-    repeated = share(docs, repeated_filter(docs, seen))
+    repeated, common = (share(docs, x) for x in repeated_filters(docs, seen, (2, COMMON), (FILTER_BITS, COMMON_BITS)))
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = opened(repeated)
+        several, often = opened(repeated), opened(common)
         for batch in batches:
             for part in slices(batch, text, PIECE_BYTES):
                 sets = Sets(part, text, n)
                 lone = np.zeros(len(sets.ids), bool)
                 lone[_distinct(sets)] = True
                 rows, keys = light_keys(sets, plan)
-                found = [(-1, rows, keys)]
-                found += [(level, np.repeat(rows, keys.shape[1]), keys.ravel()) for level, rows, keys in heavy_keys(sets, plan)]
-                for level, rows, keys in found:
-                    some = lone[rows] & passes(bitmap, keys)
-                    rows, keys = rows[some], keys[some]
-                    if not len(rows):
-                        continue
-                    own, lead = np.unique(rows, return_index=True)
-                    drawn = sketches(sets, own, 32 if level < 0 else sketch_bytes(plan.parts[level]))
-                    held: list[bytes | None] = [None] * len(rows)
-                    for k, x in zip(lead.tolist(), drawn, strict=True):  # one of a set's rows carries its sketch
-                        held[k] = x.tobytes()
-                    blobs = pa.array(held, pa.binary())
-                    columns = [pa.array(keys.view(np.int64)), pa.array(sets.ids[rows].view(np.int64)), pa.array(sets.sizes[rows], pa.int32()), pa.array(np.full(len(rows), level), pa.int32()), blobs]
-                    yield pa.RecordBatch.from_arrays(columns, names=["_key", "_set", "_size", "_level", "_sketch"])
+                some = passes(several, keys)
+                heavy, shingles = heavy_keys(sets, plan, several, often)
+                rows, keys = np.concatenate((rows[some], heavy)), np.concatenate((keys[some], shingles))
+                rows, keys = rows[lone[rows]], keys[lone[rows]]
+                if not len(rows):
+                    continue
+                own, lead = np.unique(rows, return_index=True)
+                held: list[bytes | None] = [None] * len(rows)
+                for k, x in zip(lead.tolist(), sketches(sets, own, plan), strict=True):  # one of a set's rows carries its sketch
+                    held[k] = x
+                columns = [pa.array(keys.view(np.int64)), pa.array(sets.ids[rows].view(np.int64)), pa.array(sets.sizes[rows], pa.int32()), pa.array(held, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["_key", "_set", "_size", "_sketch"])
 
     rows = materialise(docs.mapInArrow(lean(members), _MEMBERS), "jaccard-members")
     several = rows.groupBy("_key").agg(F.min("_set").alias("_a"), F.max("_set").alias("_b")).filter("_a < _b").select("_key")
-    lists = rows.drop("_sketch").join(several, "_key", "left_semi").distinct()
-    return materialise(lists, "jaccard-lists"), rows.filter("_sketch is not null").select("_set", "_level", "_sketch").distinct()
+    lists = materialise(rows.drop("_sketch").join(several, "_key", "left_semi").distinct(), "jaccard-lists")
+    drawn = rows.filter("_sketch is not null").join(lists.select("_set").distinct(), "_set", "left_semi")
+    return lists, materialise(drawn.groupBy("_set").agg(F.first("_sketch").alias("_sketch")), "jaccard-sketches")
+
+
+def _stars(lists: DataFrame, drawn: DataFrame, threshold: Fraction) -> DataFrame:
+    """_a, _b: one member of each list with every other one, where the sketches allow it. No list meets in one task for this."""
+    one = lists.groupBy("_key").agg(F.max(F.struct(F.xxhash64("_set").alias("h"), "_set", "_size")).alias("_one"))
+    pairs = lists.join(one, "_key").filter(F.col("_set") != F.col("_one._set"))
+    pairs = pairs.select(F.col("_set").alias("_a"), F.col("_one._set").alias("_b"), F.col("_size").alias("_n"), F.col("_one._size").alias("_m")).distinct()
+    up, down = threshold.numerator, threshold.denominator
+    pairs = pairs.filter((F.least("_n", "_m") * down >= F.greatest("_n", "_m") * up))
+    pairs = pairs.join(drawn.withColumnsRenamed({"_set": "_a", "_sketch": "_x"}), "_a").join(drawn.withColumnsRenamed({"_set": "_b", "_sketch": "_y"}), "_b")
+    allowed = _allowed(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("_n", "_m"))
+            differ = np.zeros(batch.num_rows, np.int64)
+            for k, (x, y) in enumerate(zip(batch.column("_x").to_pylist(), batch.column("_y").to_pylist(), strict=True)):
+                x, y = folded([x, y], min(len(x), len(y)))
+                differ[k] = np.bitwise_count(x ^ y).sum()
+            fits = pa.array(allowed(differ, n, m))
+            ends = [batch.column(c).to_numpy() for c in ("_a", "_b")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], names=["_a", "_b"]).filter(fits)
+
+    return pairs.mapInArrow(lean(run), _PAIRS).distinct()
+
+
+def _allowed(threshold: Fraction):
+    """Whether sets of sizes n and m that differ in at least so many shingles may still link."""
+    up, down = threshold.numerator, threshold.denominator
+    return lambda differ, n, m: (differ * (down + up) <= (n + m) * (down - up)) & (np.minimum(n, m) * down >= np.maximum(n, m) * up)
 
 
 def _dealt(lists: DataFrame, drawn: DataFrame, long: int) -> DataFrame:
@@ -234,30 +276,34 @@ def _dealt(lists: DataFrame, drawn: DataFrame, long: int) -> DataFrame:
         rows = lists.join(blocks, "_key", "left").withColumn("_side", F.when(F.col("_k").isNull(), 0).otherwise(F.pmod(F.xxhash64("_set"), F.col("_k")).cast("int")))
         pairs = F.transform(F.sequence(F.lit(0), F.col("_k") - 1), lambda j: F.least(j, F.col("_side")) * F.col("_k") + F.greatest(j, F.col("_side")))
         rows = rows.withColumn("_unit", F.explode(F.when(F.col("_k").isNull(), F.array(F.lit(0))).otherwise(pairs))).drop("_k")
-    return rows.join(drawn, ["_set", "_level"]).repartition("_key", "_unit").sortWithinPartitions("_key", "_unit", "_set")
+    return rows.join(drawn, "_set").repartition("_key", "_unit").sortWithinPartitions("_key", "_unit", "_size", "_set")
 
 
 def _scan(threshold: Fraction, forest: bool):
-    """Pairs of each unit that the sketches allow: a spanning forest, or all between different components."""
-    up, down = threshold.numerator, threshold.denominator
+    """Pairs of members of different components that the sketches allow, in each unit: all, or only what joins the components to trees."""
+    allowed = _allowed(threshold)
 
-    def pairs(sets: np.ndarray, sizes: np.ndarray, drawn: np.ndarray, groups: np.ndarray, sides: np.ndarray) -> Iterator[tuple[int, int]]:
-        n = len(sets)
-        root, left = np.arange(n), n - 1
+    def pairs(sets: np.ndarray, sizes: np.ndarray, drawn: list[bytes], groups: np.ndarray, sides: np.ndarray) -> Iterator[tuple[int, int]]:
+        root, n = np.unique(groups, return_inverse=True)[1], len(sets)
+        left = int(root.max())
         across = sides.min() != sides.max()  # members of one block meet in a unit of their own
+        reach = np.searchsorted(sizes, sizes * threshold.denominator // threshold.numerator, side="right")  # members come by size
+        width, base = 0, 0
         for a in range(n - 1):
-            if forest and not left:  # one tree already
+            if not left:  # one tree already
                 break
-            rest = np.arange(a + 1, n)
-            rest = rest[(root[rest] != root[a]) if forest else (groups[rest] != groups[a])]
+            rest = np.arange(a + 1, reach[a])
+            rest = rest[root[rest] != root[a]]
             if across:
                 rest = rest[sides[rest] != sides[a]]
             if not len(rest):
                 continue
-            small, large = np.minimum(sizes[a], sizes[rest]), np.maximum(sizes[a], sizes[rest])
-            differ = np.bitwise_count(drawn[rest] ^ drawn[a]).sum(axis=1, dtype=np.int64)
-            fits = (differ * (down + up) <= (sizes[a] + sizes[rest]) * (down - up)) & (small * down >= large * up)
-            for b in rest[fits].tolist():
+            if len(drawn[a]) != width:  # of this width are a run of members; those beyond them are folded to it
+                width, base = len(drawn[a]), a
+                last = max(k for k in range(a, n) if len(drawn[k]) == width)
+                held = folded(drawn[a : reach[last]], width)
+            differ = np.bitwise_count(held[rest - base] ^ held[a - base]).sum(axis=1, dtype=np.int64)
+            for b in rest[allowed(differ, sizes[a], sizes[rest])].tolist():
                 if forest:
                     if root[a] == root[b]:
                         continue
@@ -286,23 +332,21 @@ def _scan(threshold: Fraction, forest: bool):
         if not whole.num_rows:
             return
         sides = whole.column("_side").to_numpy()
-        keys = whole.column("_key").to_numpy()
         sets, sizes = whole.column("_set").to_numpy(), whole.column("_size").to_numpy().astype(np.int64)
-        groups = whole.column("_group").to_numpy() if not forest else sets
+        groups = whole.column("_group").to_numpy()
         drawn = whole.column("_sketch").to_pylist()
         edges = units(whole)
-        out: dict[tuple[int, int], int] = {}
+        out: set[tuple[int, int]] = set()
 
         def told() -> pa.RecordBatch:
             ends = np.array(list(out), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array(list(out.values()), pa.int64())], names=["_a", "_b", "_key"])
+            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["_a", "_b"])
 
         for at, to in zip(edges[:-1], edges[1:], strict=True):
             if to - at < 2:
                 continue
-            block = np.frombuffer(b"".join(drawn[at:to]), np.uint8).reshape(to - at, -1)
-            for a, b in pairs(sets[at:to], sizes[at:to], block.view(np.uint64), groups[at:to], sides[at:to]):
-                out.setdefault((min(a, b), max(a, b)), int(keys[at]))
+            for a, b in pairs(sets[at:to], sizes[at:to], drawn[at:to], groups[at:to], sides[at:to]):
+                out.add((min(a, b), max(a, b)))
                 if len(out) >= HELD_PAIRS:
                     yield told()
                     out.clear()
@@ -314,7 +358,7 @@ def _scan(threshold: Fraction, forest: bool):
 
 #: Pairs that a task holds before it sends them on.
 HELD_PAIRS = 1 << 16
-_PAIRS = "_a long, _b long, _key long"
+_PAIRS = "_a long, _b long"
 
 
 def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction, n: int = SHINGLE) -> DataFrame:
@@ -354,7 +398,7 @@ def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction, n:
                 joined.sort()
                 same = int(np.count_nonzero(joined[1:] == joined[:-1]))
                 linked.append(down * same >= up * (len(joined) - same))
-            yield pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_b"), batch.column("_key"), pa.array(linked, pa.bool_())], names=["_a", "_b", "_key", "_linked"])
+            yield pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_b"), pa.array(linked, pa.bool_())], names=["_a", "_b", "_linked"])
 
     return materialise(both.mapInArrow(lean(judge), _PAIRS + ", _linked boolean"), "jaccard-checked")
 
@@ -387,22 +431,29 @@ def _labelled(docs: DataFrame, text: str, threshold: Fraction, n: int) -> DataFr
     sizes = {int(size): int(c) for size, c in named.groupBy("_size").agg(F.count(F.lit(1))).collect()}
     plan = Plan(sizes, threshold)
     lists, drawn = inverted_lists(docs, plan, "_text", n)
-    forest = _dealt(lists, drawn, LONG).mapInArrow(lean(_scan(threshold, True)), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
-    # a pair that fails may do so in several lists; all lists of its two ends are scanned again
-    checked = _check(materialise(forest, "jaccard-forest"), docs, "_text", threshold, n)
-    links = checked.filter("_linked").select("_a", "_b")
-    failed = checked.filter("not _linked").select("_a", "_b")
-    if not failed.isEmpty():
-        groups = connected(links)
-        ends = failed.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct()
-        again = lists.join(lists.join(ends, "_set", "left_semi").select("_key").distinct(), "_key", "left_semi")
-        again = again.join(groups.withColumnsRenamed({"id": "_set", "component": "_group"}), "_set", "left")
-        again = _dealt(materialise(again.withColumn("_group", F.coalesce("_group", "_set")), "jaccard-again"), drawn, LONG)
-        more = again.mapInArrow(lean(_scan(threshold, False)), _PAIRS).groupBy("_a", "_b").agg(F.min("_key").alias("_key"))
-        more = more.join(failed, ["_a", "_b"], "left_anti")
-        rechecked = _check(materialise(more, "jaccard-rest"), docs, "_text", threshold, n)
-        links = links.unionByName(rechecked.filter("_linked").select("_a", "_b"))
+    checked = _check(materialise(_stars(lists, drawn, threshold), "jaccard-stars"), docs, "_text", threshold, n)
+    links, failed = (checked.filter(x).select("_a", "_b") for x in ("_linked", "not _linked"))
     groups = connected(links).withColumnsRenamed({"id": "_set", "component": "_group"})
+    for forest in (True, False):
+        open_ = lists.join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
+        several = open_.groupBy("_key").agg(F.min("_group").alias("_x"), F.max("_group").alias("_y")).filter("_x < _y").select("_key")
+        if not forest:  # only lists of a pair that failed can hold links that the trees don't tell
+            ends = lists.join(failed.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct(), "_set", "left_semi").select("_key").distinct()
+            several = several.join(ends, "_key", "left_semi")
+        open_ = materialise(open_.join(several, "_key", "left_semi"), "jaccard-open")
+        if open_.isEmpty():
+            break
+        more = _dealt(open_, drawn, LONG).mapInArrow(lean(_scan(threshold, forest)), _PAIRS).distinct()
+        if not forest:
+            more = more.join(failed, ["_a", "_b"], "left_anti")
+        checked = _check(materialise(more, "jaccard-pairs"), docs, "_text", threshold, n)
+        found = checked.filter("_linked").select("_a", "_b")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            groups = connected(links).withColumnsRenamed({"id": "_set", "component": "_group"})
+        failed = checked.filter("not _linked").select("_a", "_b")
+        if failed.isEmpty():
+            break
     named = named.select("_set", "_name").join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
     label = named.groupBy("_group").agg(F.min("_name").alias("component_id"))
     of_set = named.select("_set", "_group").join(label, "_group").select("_set", "component_id")

@@ -116,7 +116,7 @@ class Cascade:
     #: Bound of the sample that the order is estimated on; rows beyond it never change a verdict.
     sample_rows: int = 200
     #: Times that the sample is gone over to time a rule, so that the work outweighs the start of a job.
-    laps: int = 50
+    laps: int = 8
     seed: int = 11
 
     def sample(self, docs: DataFrame, text: str = "text") -> DataFrame:
@@ -135,7 +135,7 @@ class Cascade:
 
         def seconds(predicate: Column) -> float:
             took = []
-            for _ in range(3):  # the first compiles
+            for _ in range(2):  # the first compiles
                 began = time.perf_counter()
                 often.agg(F.sum(predicate.cast("int"))).collect()
                 took.append(time.perf_counter() - began)
