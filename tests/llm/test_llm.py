@@ -139,13 +139,37 @@ def test_jaccard_join_small_sets(spark):
     assert got == sorted(jaccard_join.brute_force(data))
 
 
-def test_jaccard_plan_covers_all_linked_sizes():
-    plan = jaccard_join.Plan({n: 1 for n in range(1, 3000)})
-    assert 9 <= plan.light <= 60
-    for n in range(plan.light + 1, 2900):
-        level = plan.level(n)
-        assert plan.apart(n, n) < plan.parts[level]
-        assert plan.level(plan.reach(n)) - level <= 1
+def test_jaccard_prefixes_of_linked_sets_meet():
+    """Whatever the filters say, linked sets have a looked-up shingle in common, or a subset."""
+    import numpy as np
+    import pyarrow as pa
+    from fractions import Fraction
+
+    rng = random.Random(6)
+    for t in (Fraction(9, 10), Fraction(4, 5)):
+        plan = jaccard_join.Plan({n: 1 for n in range(1, 3000)}, t)
+        assert 4 <= plan.light <= 60 and plan.listed <= plan.light + 1
+        linked = 0
+        for n in [*range(1, 60)] * 3 + [300, 2000]:
+            base = [f"w{rng.randrange(10**6)}" for _ in range(n + 2)]
+            gone = rng.randint(0, max(1, int(n * (1 - t))))
+            other = base[gone // 2 :] + [f"new{k}" for k in range(gone - gone // 2)]
+            texts = [" ".join(base), " ".join(other)]
+            sets = jaccard_join.Sets(pa.RecordBatch.from_pydict({"t": texts}), "t")
+            a, b = (set(sets.of(k).tolist()) for k in range(2))
+            if len(a & b) < t * len(a | b) or a == b:
+                continue
+            linked += 1
+            seen = np.full(1 << 10, 255, np.uint8)  # a filter that is full
+            both = [set(), set()]
+            for rows, keys in (jaccard_join.light_keys(sets, plan), jaccard_join.heavy_keys(sets, plan, seen, np.array([rng.randrange(256) for _ in range(1 << 10)], np.uint8))):
+                for r, k in zip(rows.tolist(), keys.tolist(), strict=True):
+                    both[r].add(k)
+            assert both[0] & both[1]
+            x, y = jaccard_join.sketches(sets, np.arange(2), plan)
+            x, y = jaccard_join.folded([x, y], min(len(x), len(y)))
+            assert np.bitwise_count(x ^ y).sum() <= len(a ^ b)
+        assert linked > 30
 
 
 def test_clashing_names_stay_as_they_are(spark):
