@@ -16,8 +16,9 @@ which two sketches differ can only be fewer than the shingles in which the sets
 proven not to link. First one member of each list meets every other, which joins groups of near copies without
 bringing a list together. Lists whose members are then still in several components are scanned, each in one task, a
 long one as pairs of its blocks; of what a scan keeps only trees between components leave the task, never the pairs
-of a list. All pairs are checked against the whole sets; where one from a scan fails, its lists are scanned again and
-all pairs between different components that pass the sketch are checked, so no link is lost.
+of a list. All pairs are checked against the whole sets; where one from a scan fails, its lists are scanned again for
+other trees, and in the end for all pairs between components that are still apart and that the sketch allows, so no
+link is lost.
 
 Defined results: lower-cases A-Z; a set of fewer words than a shingle is the whole sequence; a text that is null
 or has no word is an empty set and links with nothing; rows that repeat a doc_id and text are one class, each row
@@ -78,8 +79,12 @@ class Plan:
         return n - self.shared(n) + 1
 
     def sketch_bytes(self, n: int) -> int:
-        """A power of two, with eight bits for each shingle in which linked sets of size n may differ."""
-        return max(32, 1 << (self.apart(n, n)).bit_length())
+        """A power of two, with eight bits at least for each shingle in which linked sets of size n may differ, and 64 up to 1 KB.
+
+        With 64 bits two differing shingles seldom fall on one, so hardly a pair passes that differs in more than a few too many.
+        """
+        most = self.apart(n, n)
+        return max(32, 1 << most.bit_length(), min(1 << (8 * most).bit_length(), 1024))
 
     def shared(self, larger: int) -> int:
         return math.ceil(self.t * larger)
@@ -279,9 +284,13 @@ def _dealt(lists: DataFrame, drawn: DataFrame, long: int) -> DataFrame:
     return rows.join(drawn, "_set").repartition("_key", "_unit").sortWithinPartitions("_key", "_unit", "_size", "_set")
 
 
-def _scan(threshold: Fraction, forest: bool):
-    """Pairs of members of different components that the sketches allow, in each unit: all, or only what joins the components to trees."""
+def _scan(threshold: Fraction, forest: int):
+    """Pairs of members of different components that the sketches allow, in each unit: all, or only what joins the components to trees.
+
+    Which of several links joins two trees depends on forest, from 1 on; 0 stands for all pairs.
+    """
     allowed = _allowed(threshold)
+    salt = np.uint64(forest << 32)
 
     def pairs(sets: np.ndarray, sizes: np.ndarray, drawn: list[bytes], groups: np.ndarray, sides: np.ndarray) -> Iterator[tuple[int, int]]:
         root, n = np.unique(groups, return_inverse=True)[1], len(sets)
@@ -303,7 +312,10 @@ def _scan(threshold: Fraction, forest: bool):
                 last = max(k for k in range(a, n) if len(drawn[k]) == width)
                 held = folded(drawn[a : reach[last]], width)
             differ = np.bitwise_count(held[rest - base] ^ held[a - base]).sum(axis=1, dtype=np.int64)
-            for b in rest[allowed(differ, sizes[a], sizes[rest])].tolist():
+            hits = rest[allowed(differ, sizes[a], sizes[rest])]
+            if forest:
+                hits = hits[np.argsort(mix(sets[hits].view(np.uint64) + salt))]
+            for b in hits.tolist():
                 if forest:
                     if root[a] == root[b]:
                         continue
@@ -434,10 +446,10 @@ def _labelled(docs: DataFrame, text: str, threshold: Fraction, n: int) -> DataFr
     checked = _check(materialise(_stars(lists, drawn, threshold), "jaccard-stars"), docs, "_text", threshold, n)
     links, failed = (checked.filter(x).select("_a", "_b") for x in ("_linked", "not _linked"))
     groups = connected(links).withColumnsRenamed({"id": "_set", "component": "_group"})
-    for forest in (True, False):
+    for forest in (1, 2, 0):
         open_ = lists.join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
         several = open_.groupBy("_key").agg(F.min("_group").alias("_x"), F.max("_group").alias("_y")).filter("_x < _y").select("_key")
-        if not forest:  # only lists of a pair that failed can hold links that the trees don't tell
+        if forest != 1:  # only lists of a pair that failed can hold links that the trees don't tell
             ends = lists.join(failed.select(F.explode(F.array("_a", "_b")).alias("_set")).distinct(), "_set", "left_semi").select("_key").distinct()
             several = several.join(ends, "_key", "left_semi")
         open_ = materialise(open_.join(several, "_key", "left_semi"), "jaccard-open")
@@ -451,9 +463,10 @@ def _labelled(docs: DataFrame, text: str, threshold: Fraction, n: int) -> DataFr
         if not found.isEmpty():
             links = links.unionByName(found)
             groups = connected(links).withColumnsRenamed({"id": "_set", "component": "_group"})
-        failed = checked.filter("not _linked").select("_a", "_b")
-        if failed.isEmpty():
+        wrong = checked.filter("not _linked").select("_a", "_b")
+        if wrong.isEmpty():
             break
+        failed = wrong if forest == 1 else failed.unionByName(wrong).distinct()
     named = named.select("_set", "_name").join(groups, "_set", "left").withColumn("_group", F.coalesce("_group", "_set"))
     label = named.groupBy("_group").agg(F.min("_name").alias("component_id"))
     of_set = named.select("_set", "_group").join(label, "_group").select("_set", "component_id")
