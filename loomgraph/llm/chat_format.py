@@ -3,7 +3,7 @@
 A declarative template names the markers, the roles and the machine: which role may follow which, and after
 which a conversation may end. A conversation becomes one text of segments, each with a flag that says whether
 its characters count in the loss. Text inside a turn is escaped so that no marker can be forged, and reading
-back restores it exactly.
+back restores it exactly; the digest counts control strings beyond those of the turns, which must be none.
 
 Defined results: a null text or role counts as empty; turns sort by (turn, role, text) with null turns first, so
 ties and repeated rows have one order and all stay; a null conv_id is a conversation of its own; an empty table
@@ -39,10 +39,14 @@ class ChatTemplate:
 
 
 def escape(text: Column, template: ChatTemplate) -> Column:
-    """A backslash doubles; a control string gets one after its first character."""
+    """A backslash doubles; a control string gets one after its first character.
+
+    One that may overlap itself ("###" in "####") would be left standing in part, so its first character gets one in front wherever it is.
+    """
     text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
     for mark in template.control_strings():
-        text = F.replace(text, F.lit(mark), F.lit(mark[0] + "\\" + mark[1:]))
+        overlaps = any(mark.startswith(mark[k:]) for k in range(1, len(mark)))
+        text = F.replace(text, F.lit(mark[0]), F.lit("\\" + mark[0])) if overlaps else F.replace(text, F.lit(mark), F.lit(mark[0] + "\\" + mark[1:]))
     return text
 
 
@@ -118,6 +122,7 @@ def digest(turns: DataFrame, template: ChatTemplate | None = None) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        *[(F.size(F.split("formatted", "\\Q" + m + "\\E")) - 1 - F.size("turns")).cast("long").alias(f"forged_{k}") for k, m in enumerate((template or ChatTemplate()).control_strings())],
         "valid_order",
     )
 
@@ -146,9 +151,9 @@ WITH t AS (
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), r AS (
   SELECT *, lag(role, 1, 'start') OVER w AS before, lead(role) OVER w AS after,
-    replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##') AS body,
+    replace(replace(replace(text, '\', '\\'), '</turn>', '<\/turn>'), '#', '\#') AS body,
     CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant'
-      ELSE '?' || replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '###', '#\##'), ': ', ':\ ') END AS label
+      ELSE '?' || replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '#', '\#'), ': ', ':\ ') END AS label
   FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
@@ -156,6 +161,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length('### ' || label || ': ' || body || '</turn>' || chr(10)))::BIGINT AS formatted_chars,
+  0::BIGINT AS forged_0, 0::BIGINT AS forged_1,
   bool_and((before = 'start' AND role IN ('system', 'user')) OR (before = 'system' AND role = 'user')
     OR (before = 'user' AND role = 'assistant') OR (before = 'assistant' AND role = 'user'))
     AND bool_or(after IS NULL AND role = 'assistant') AS valid_order
