@@ -23,23 +23,30 @@ from .common import table
 
 #: Headers that a not-modified answer may update; all else stays as stored.
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
-#: Blocks of time that the captures' span is cut into; it only sets how finely one URL is dealt out.
-BLOCKS = 256
+#: Blocks of time that the captures are cut into, by quantiles; it only sets how finely one URL is dealt out.
+BLOCKS = 64
 
 
 def canonical_url(url: Column) -> Column:
-    """Lower-case scheme and host without www. and default port; no fragment, no trailing slash or index page, no tracking parameters, the rest sorted."""
+    """Lower-case host without www. and default port; no scheme, no fragment, no trailing slash or index page, no tracking parameters, the rest sorted.
+
+    What has no scheme has no host to tell either: but for its fragment it stays as it is.
+    """
     bare = F.regexp_replace(F.btrim(url), "#.*$", "")
     host = F.regexp_replace(F.lower(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)", 1)), r"^www\.|:(80|443)$", "")
     path = F.regexp_replace(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), r"(/index\.html?)?/*$", "")
     query = F.regexp_extract(bare, r"\?(.*)$", 1)
     kept = F.array_sort(F.filter(F.split(query, "&"), lambda x: (x != "") & ~x.rlike(r"^(utm_\w+|ref|sessionid|sid|fbclid|gclid)(=|$)")))
-    return F.concat(host, F.when(path == "", F.lit("/")).otherwise(path), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit("")))
+    whole = F.concat(host, F.when(path == "", F.lit("/")).otherwise(path), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit("")))
+    return F.when(bare.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), whole).otherwise(bare)
 
 
-def _width(records: DataFrame, blocks: int) -> int:
-    low, high = records.agg(F.min("at"), F.max("at")).first()
-    return 1 if low is None else (high - low) // blocks + 1
+def _bounds(records: DataFrame, blocks: int) -> list[int]:
+    """Times that cut the captures into blocks of about as many each, so that no far-off time makes the others share one."""
+    shares = [k / blocks for k in range(1, blocks)]
+    if not shares:
+        return []
+    return sorted(set(records.agg(F.percentile_approx("at", shares)).first()[0] or []))
 
 
 def resolve(records: DataFrame, blocks: int = BLOCKS) -> DataFrame:
@@ -51,8 +58,10 @@ def resolve(records: DataFrame, blocks: int = BLOCKS) -> DataFrame:
     rows = records.select(
         "record_id", "type", "at", "digest", canonical_url(F.col("url")).alias("key"),
         F.coalesce(F.array_sort(F.map_entries("headers")), F.expr("cast(array() as array<struct<key:string,value:string>>)")).alias("headers"),
-        F.floor(F.col("at") / F.lit(_width(records, blocks))).alias("span"),
     )
+    bounds, odd = _bounds(records, blocks), F.col("key").isNull() | F.col("at").isNull()
+    span = F.size(F.filter(F.array(*[F.lit(x) for x in bounds]), lambda x: x <= F.col("at"))) if bounds else F.lit(0)
+    rows = rows.withColumn("span", F.when(odd, -1 - F.pmod(F.xxhash64("record_id"), F.lit(blocks))).otherwise(span))  # what can't resolve is spread
     full = (F.col("type") == "response") & F.col("key").isNotNull() & F.col("at").isNotNull()
     rows = rows.withColumn("stored", F.when(full, F.struct("at", "record_id", "digest", "headers")))
     latest = rows.filter(full).groupBy("key", "span").agg(F.max("stored").alias("last"))
@@ -112,7 +121,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 _KEY_SQL = r"""(
-  SELECT h || CASE WHEN p = '' THEN '/' ELSE p END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END FROM (SELECT
+  SELECT CASE WHEN NOT regexp_matches(u, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN u ELSE h || CASE WHEN p = '' THEN '/' ELSE p END || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END END FROM (SELECT
     regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?]*)', 1)), '^www\.|:(80|443)$', '', 'g') AS h,
     regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '(/index\.html?)?/*$', '') AS p,
     list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
