@@ -34,19 +34,15 @@ class Found:
     rows: np.ndarray
 
 
-#: Stands for a null doc_id.
-NO_DOC = -(1 << 63)
-
-
-def doc_key(docs: DataFrame) -> Column:
-    """A number for each doc_id: itself where it is one."""
+def doc_key(docs: DataFrame, text: str) -> Column:
+    """64 bits for each doc_id: itself where it is a whole number. A null one gets a hash of the text instead."""
     whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_DOC).cast("long")) if whole else F.xxhash64("doc_id")
+    return F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(9), F.col(text))).otherwise(F.col("doc_id").cast("long") if whole else F.xxhash64("doc_id"))
 
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
-    """_doc, _tag, _text. The tag tells texts of one doc_id apart."""
-    return docs.select(doc_key(docs).alias("_doc"), F.hash(F.col(text)).alias("_tag"), F.col(text).alias("_text")).filter("_text is not null")
+    """_doc, _tag, _text. The tag, 64 more bits, tells texts of one doc_id apart, and with _doc those of none."""
+    return docs.select(doc_key(docs, text).alias("_doc"), F.xxhash64(text).alias("_tag"), F.col(text).alias("_text")).filter("_text is not null")
 
 
 def later_copies(docs: DataFrame, tag: str) -> DataFrame:
@@ -121,7 +117,7 @@ class Classes:
                         names=["_anchor", "_class", "_doc", "_tag", "_at"],
                     )
 
-        return self.docs.mapInArrow(lean(run), "_anchor long, _class long, _doc long, _tag int, _at long")
+        return self.docs.mapInArrow(lean(run), "_anchor long, _class long, _doc long, _tag long, _at long")
 
     def resolved(self, told: DataFrame) -> DataFrame:
         """Occurrences joined with told by _class. Classes of a thousandth of all occurrences or more, at most a thousand of
@@ -223,7 +219,7 @@ def cut_texts(docs: DataFrame, runs: DataFrame, text: str, cut: Cut, added: list
     new = [f.name for f in added]
     others = [c for c in docs.columns if c != text and c not in new]
     rest = T.StructField("_rest", docs.select(bundled(docs, others).alias("_rest")).schema["_rest"].dataType)
-    keys = [T.StructField("_doc", T.LongType()), T.StructField("_tag", T.IntegerType())]
+    keys = [T.StructField("_doc", T.LongType()), T.StructField("_tag", T.LongType())]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = pa.Codec("zstd", compression_level=3)
@@ -251,7 +247,7 @@ def cut_texts(docs: DataFrame, runs: DataFrame, text: str, cut: Cut, added: list
                 yield pa.RecordBatch.from_arrays([part.column("_rest"), texts, *made], names=["_rest", "_text", *new])
                 at = to
 
-    rows = docs.select(bundled(docs, others).alias("_rest"), F.col(text).alias("_text"), doc_key(docs).alias("_doc"), F.hash(F.col(text)).alias("_tag"))
+    rows = docs.select(bundled(docs, others).alias("_rest"), F.col(text).alias("_text"), doc_key(docs, text).alias("_doc"), F.xxhash64(text).alias("_tag"))
     wire = rows.mapInArrow(lean(pack), T.StructType([rest, T.StructField("_text", T.BinaryType()), *keys, T.StructField("_size", T.LongType())]))
     joined = wire.join(runs, ["_doc", "_tag"], "left").select("_rest", "_text", "_size", "_runs")
     out = joined.mapInArrow(lean(unpack), T.StructType([rest, T.StructField("_text", T.StringType()), *added]))

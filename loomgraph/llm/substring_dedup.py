@@ -10,7 +10,7 @@ text, make up the maximal repeats of at least `length` words, and every word und
 An anchor with one class needs no windows: all or none of its members repeat. Windows are told apart by 64 bits within an anchor of 64 bits.
 
 Defined results: a null text has no words and keeps none; a repeated row is a copy like any other, and as rows of
-one doc_id and text are told apart by nothing, each gets the same result; a null doc_id is a document; other
+one doc_id and text are told apart by nothing, each gets the same result; a null doc_id is a document, told apart by 128 bits of its text; other
 columns pass through untouched; an empty table gives no rows.
 """
 
@@ -36,7 +36,7 @@ def _find(length: int):
         data, offsets = text_bytes(part, "_text")
         starts, ends, rows = word_spans(data, offsets, SPACED)
         words = _BYTES.stretch(_BYTES.sums(data), starts, ends)
-        gram = max(GRAM, length - 62)
+        gram = max(min(GRAM, length), length - 62)
         runs = Runs(rows, length, gram, _WORDS.grams(words, gram))
         whole = _WORDS.stretch(_WORDS.sums(words), runs.first, runs.first + runs.count + length - 1)
 
@@ -52,6 +52,8 @@ def _find(length: int):
 
 def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """_doc, _tag, _runs: runs of windows, with a bit for each that repeats, of the texts that have any."""
+    if length < 1:
+        raise ValueError("a passage has a word at least")
     found = Classes(keyed(docs, text), _find(length), T.ArrayType(T.LongType()), "repeat-classes")
     content = found.open_content().groupBy("_anchor", "_class", "_content").agg(F.sum("_members").alias("_members"))
     open_ = content.select("_anchor", "_class", "_members", F.posexplode("_content").alias("_at", "_window"))

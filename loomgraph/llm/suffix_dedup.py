@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from .anchors import Runs
 from .common import Rolling, byte_grams, lean, ranges, strings_of, table, text_bytes
-from .repeats import NO_DOC, Classes, Found, covered, cut_texts, gathered, keyed, later_copies, without
+from .repeats import Classes, Found, covered, cut_texts, gathered, keyed, later_copies, without
 
 LENGTH = 50
 GRAM = 24
@@ -148,7 +148,7 @@ def _settle(length: int):
 def _find(length: int):
     def find(part: pa.RecordBatch) -> Found:
         data, rows = text_bytes(part, "_text")
-        gram = max(GRAM, length - 62)
+        gram = max(min(GRAM, length), length - 62)
         runs = Runs(rows, length, gram, byte_grams(data, gram))
         size = runs.count + length - 1
         whole = _GRAMS.stretch(_GRAMS.sums(data), runs.first, runs.first + size)
@@ -159,7 +159,9 @@ def _find(length: int):
 
 def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """_doc, _tag, _runs: runs of strings, with a bit for each that goes, of the texts that lose any."""
-    texts = keyed(docs, text).filter(F.col("_doc") != NO_DOC)
+    if length < 8:
+        raise ValueError("strings of fewer than 8 bytes have no anchors")
+    texts = keyed(docs.filter("doc_id is not null"), text)
     copies = later_copies(texts.filter(F.octet_length("_text") >= length), "suffix-copies")
     found = Classes(texts, _find(length), T.BinaryType(), "suffix-classes", without(texts, copies))
     open_ = found.open_content().drop("_members")
