@@ -6,6 +6,7 @@ top-k selection shuffles, by the group that it ranks in.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -57,12 +58,18 @@ def _flags(*conditions: Column) -> Column:
     return reduce(lambda a, b: a + b, [c.cast("int") for c in conditions])
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value worked out once, also inside conditions, where Spark shares no subexpressions."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def is_navigation(text: Column) -> Column:
-    filled = filled_lines(text)
-    links = count(text, LINK)
-    menu = F.size(F.filter(filled, lambda x: x.rlike(MENU_LINE)))
-    signs = F.aggregate(filled, F.lit(0), lambda n, x: n + _flags(*[x.rlike("(?i)" + p) for p in PRODUCT_SIGNS]))
-    return (F.size(filled) > 0) & ((links > 0.6 * F.size(filled)) | (menu > 8) | ((signs >= 2) & (links > 5)))
+    def told(filled: Column, links: Column) -> Column:
+        menu = F.size(F.filter(filled, lambda x: x.rlike(MENU_LINE)))
+        signs = F.aggregate(filled, F.lit(0), lambda n, x: n + _flags(*[x.rlike("(?i)" + p) for p in PRODUCT_SIGNS]))
+        return (F.size(filled) > 0) & ((links > 0.6 * F.size(filled)) | (menu > 8) | ((links > 5) & (signs >= 2)))
+
+    return _bind(F.struct(filled_lines(text).alias("f"), count(text, LINK).alias("l")), lambda x: told(x["f"], x["l"]))
 
 
 def is_marketing(text: Column) -> Column:
@@ -89,20 +96,26 @@ def language_points(text: Column) -> Column:
 def keyword_count(text: Column, english: list[str] | None = None, chinese: list[str] | None = None) -> Column:
     """English ones as whole words, Chinese ones anywhere. A list that is given counts its repeats, too."""
     english, chinese = ENGLISH if english is None else english, CHINESE if chinese is None else chinese
-    low = F.lower(text)
-    found = F.array_distinct(F.regexp_extract_all(low, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
     single = sorted({k.lower() for k in english})
     again = [k.lower() for n, k in enumerate(english) if k.lower() in [x.lower() for x in english[:n]]]
-    out = _flags(*[F.contains(low, F.lit(k.lower())) for k in chinese]) if chinese else F.lit(0)
-    for listed in (single, again):
+    listed = [x for x in (single, again) if x]
+
+    def told(low: Column) -> Column:
+        out = F.lit(0)
+        if chinese:
+            flags = _flags(*[F.contains(low, F.lit(k.lower())) for k in chinese])
+            apart = all(any("\u4e00" <= c <= "\u9fff" for c in k) for k in chinese)
+            out = F.when(low.rlike(r"[\x{4e00}-\x{9fff}]"), flags).otherwise(0) if apart else flags
         if listed:
-            out = out + F.size(F.array_intersect(found, F.array(*[F.lit(k) for k in listed])))
-    return out
+            found = F.array_distinct(F.regexp_extract_all(low, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
+            out = out + _bind(found, lambda f: reduce(lambda a, b: a + b, [F.size(F.array_intersect(f, F.array(*[F.lit(k) for k in x]))) for x in listed]))
+        return out
+
+    return _bind(F.lower(text), told)
 
 
 def keyword_points(text: Column, english: list[str] | None = None, chinese: list[str] | None = None) -> Column:
-    n = keyword_count(text, english, chinese)
-    return F.when(n < 2, -15).when(n < 4, -5).otherwise(5)
+    return _bind(keyword_count(text, english, chinese), lambda n: F.when(n < 2, -15).when(n < 4, -5).otherwise(5))
 
 
 def substance(text: Column) -> Column:
@@ -111,8 +124,7 @@ def substance(text: Column) -> Column:
 
 
 def substance_points(text: Column) -> Column:
-    n = substance(text)
-    return F.when(n < 100, -20).when(n < 200, -10).otherwise(5)
+    return _bind(substance(text), lambda n: F.when(n < 100, -20).when(n < 200, -10).otherwise(5))
 
 
 def table_points(text: Column) -> Column:
@@ -128,14 +140,37 @@ def technical_bonus(text: Column) -> Column:
     return F.least(F.lit(10), 2 * _flags(*[text.rlike(BEFORE + p + AFTER) for p in INDICATORS.values()]))
 
 
-def score(text: Column, content_type: Column | None = None, english: list[str] | None = None, chinese: list[str] | None = None) -> Column:
-    """0 to 100, null for null. Short texts and garbled ones stop early."""
+def _parts(text: Column, english: list[str] | None = None, chinese: list[str] | None = None) -> Column:
+    """early: the score of texts that stop early, or null; total: the sum of points of the others, unbounded."""
+    early = F.when(F.length(strip(text)) < 50, 60).when(is_garbled(text), 20)
     total = 100 - F.when(is_title_only(text), 40).otherwise(0) + language_points(text) + keyword_points(text, english, chinese)
     total = total + substance_points(text) + technical_bonus(text)
-    if content_type is not None:
-        total = total + F.when(content_type == "table", table_points(text)).otherwise(0)
-    total = F.greatest(F.lit(0), F.least(F.lit(100), total))
-    return F.when(F.length(strip(text)) < 50, 60).when(is_garbled(text), 20).when(text.isNotNull(), total)
+    return _bind(early, lambda e: F.struct(e.alias("early"), F.when(e.isNull() & text.isNotNull(), total).alias("total")))
+
+
+def _settled(parts: Column, more: Column | None = None) -> Column:
+    total = parts["total"] if more is None else parts["total"] + more
+    return F.coalesce(parts["early"], F.when(parts["total"].isNotNull(), F.greatest(F.lit(0), F.least(F.lit(100), total))))
+
+
+def _tables(text: Column, content_type: Column | None) -> Column | None:
+    return None if content_type is None else F.when(content_type == "table", table_points(text)).otherwise(0)
+
+
+def score(text: Column, content_type: Column | None = None, english: list[str] | None = None, chinese: list[str] | None = None) -> Column:
+    """0 to 100, null for null. Short texts and garbled ones stop early."""
+    return _bind(_parts(text, english, chinese), lambda p: _settled(p, _tables(text, content_type)))
+
+
+def judged(text: Column, content_type: Column | None = None, least: int = 60) -> Column:
+    """score and reject_type as a struct, with the score's parts worked out once for both."""
+    return _bind(
+        _parts(text),
+        lambda p: F.struct(
+            _settled(p, _tables(text, content_type)).alias("score"),
+            F.when(is_navigation(text), "navigation").when(is_marketing(text), "marketing").when(_settled(p) < least, "low_quality").alias("reject_type"),
+        ),
+    )
 
 
 def issues(text: Column) -> Column:
@@ -202,7 +237,7 @@ def content_class(text: Column) -> Column:
 
 def selection_info(chunks: DataFrame, strategy: str, most: int | None, least: int, order: str, text: str = "content") -> DataFrame:
     """One row: how many chunks there were, passed and were selected, and their scores."""
-    scored = chunks.select(F.col(order), score(F.col(text)).alias("s"), reject_type(F.col(text), least).alias("r"))
+    scored = chunks.select(F.col(order), judged(F.col(text), least=least).alias("q")).select(order, F.col("q.score").alias("s"), F.col("q.reject_type").alias("r"))
     passed = scored.filter("r is null")
     by = [F.col("s").desc(), F.col(order)] if strategy not in ("first", "random") else [F.col(order)]
     chosen = passed.orderBy(*by).limit(most) if most else passed

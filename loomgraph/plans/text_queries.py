@@ -257,8 +257,8 @@ def page_chunks(spark, d):
 def flagship_pages_to_chunks(spark, d):
     """Pages to markdown to chunks, each with its score and why it would be dropped."""
     out = html.page_chunks(table(spark, d, "pages"))
-    score = quality.score(F.col("content"), F.col("content_type"))
-    return out.select("page_id", "chunk_id", "content_type", "tokens", score.cast("long").alias("score"), F.coalesce(quality.reject_type(F.col("content")), F.lit("kept")).alias("verdict"))
+    out = out.withColumn("_q", quality.judged(F.col("content"), F.col("content_type")))
+    return out.select("page_id", "chunk_id", "content_type", "tokens", F.col("_q.score").cast("long").alias("score"), F.coalesce("_q.reject_type", F.lit("kept")).alias("verdict"))
 
 
 _NAME = "'/wp/' || CAST(page_id AS STRING) || CASE page_id % 4 WHEN 0 THEN '.png' WHEN 1 THEN '' WHEN 2 THEN '-svg' ELSE '.jpg' END"

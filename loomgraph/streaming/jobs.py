@@ -15,7 +15,7 @@ from ..operators import quality
 
 def scored_documents(documents: DataFrame, text: str = "text", least: int = 60) -> DataFrame:
     """doc_id, score, reject_type; documents may be a stream."""
-    return documents.select("doc_id", quality.score(F.col(text)).alias("score"), quality.reject_type(F.col(text), least).alias("reject_type"))
+    return documents.select("doc_id", quality.judged(F.col(text), least=least).alias("_q")).select("doc_id", "_q.score", "_q.reject_type")
 
 
 def document_stream(spark: SparkSession, path: str, schema: str = "doc_id bigint, text string") -> DataFrame:
