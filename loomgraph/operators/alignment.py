@@ -62,15 +62,31 @@ def merged_id(kind: Column, name: Column) -> Column:
 
 
 def merge(entities: DataFrame, cluster: str) -> DataFrame:
-    """One entity for each cluster: the longest name (the first of equals), first type, descriptions in order, merge_count, original_names."""
+    """One entity for each cluster: the longest name (the first of equals), first type, descriptions in order, merge_count, original_names.
+
+    An entity that is alone keeps its id, unless that has no prefix or an unknown one. chunks_info (an array of structs with
+    chunk_index), where there is one, is united, the first of each chunk_index in order.
+    """
     held = F.sort_array(F.collect_set(F.struct("ord", "description")))
     told = F.array_distinct(F.filter(F.transform(held, lambda x: x["description"]), lambda d: d.isNotNull() & (d != "")))
+    more = []
+    if "chunks_info" in entities.columns:
+        entities = entities.withColumn("_infos", F.when(F.col("chunks_info").isNotNull(), F.struct("ord", "chunks_info")))
+        more = [F.sort_array(F.collect_list("_infos")).alias("_infos")]
     out = entities.groupBy(cluster).agg(
         F.max(F.struct(F.length("name").alias("n"), (-F.col("ord")).alias("o"), "name"))["name"].alias("name"),
         F.min(F.struct("ord", "type"))["type"].alias("type"), F.min("ord").alias("ord"), F.array_join(told, "; ").alias("description"),
         F.count(F.lit(1)).alias("merge_count"), F.array_join(F.sort_array(F.collect_set("name")), "; ").alias("original_names"),
+        F.min(F.struct("ord", "id"))["id"].alias("_id"), *more,
     )
-    return out.withColumn("id", merged_id(F.col("type"), F.col("name")))
+    if more:
+        infos = F.flatten(F.transform("_infos", lambda x: x["chunks_info"]))
+        index = F.transform(infos, lambda y: y["chunk_index"])
+        first = F.filter(infos, lambda x, k: x["chunk_index"].isNotNull() & (F.array_position(index, x["chunk_index"]) == k + 1))
+        out = out.withColumn("chunks_info", first).drop("_infos")
+    alone = F.when(F.contains("_id", F.lit("--")) & ~F.startswith("_id", F.lit("unknown--")), F.col("_id"))
+    alone = F.coalesce(alone, F.concat(F.lower("type"), F.lit("--"), F.replace(F.lower("name"), F.lit(" "), F.lit(""))))
+    return out.withColumn("id", F.when(F.col("merge_count") == 1, alone).otherwise(merged_id(F.col("type"), F.col("name")))).drop("_id")
 
 
 def closure(entities: DataFrame, block: list[str] | None = None, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:

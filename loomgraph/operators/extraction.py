@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -69,14 +70,37 @@ class ChunkExtractor(Protocol):
         """doc_id, chunk_id, response, status, error, attempts for each chunk."""
 
 
+class CallError(Exception):
+    """What went wrong with a call. kind: rate_limit, timeout, server, connection, bad_request or other."""
+
+    def __init__(self, kind: str, message: str = ""):
+        super().__init__(message or kind)
+        self.kind = kind
+
+
+def retries(error: Exception, done: int) -> bool:
+    """Whether a call that failed after `done` retries is worth another: limits, time-outs, servers and connections always are, a bad
+    request twice unless its content was refused, anything else if it speaks of a time-out."""
+    kind = getattr(error, "kind", None) or ("timeout" if isinstance(error, TimeoutError) else "connection" if isinstance(error, ConnectionError) else "other")
+    if kind == "bad_request":
+        return done < 2 and "data_inspection_failed" not in str(error)
+    return kind in ("rate_limit", "timeout", "server", "connection") or "timeout" in str(error).lower()
+
+
+def delay(done: int, most: float = 60.0) -> float:
+    """Seconds to wait before retry number done, from 0: 1, 2, 4 ... up to most."""
+    return float(min(2**done, most))
+
+
 class CallExtractor:
-    """Asks a function once a chunk, again after an error up to `tries` times; a chunk that fails is a row that says so."""
+    """Asks a function once a chunk, again after an error that may pass (retries), up to `tries` times in all, waiting between; a chunk
+    that fails is a row that says so. wait: what waits the seconds that delay gives, time.sleep unless tests pass another."""
 
-    def __init__(self, ask: Callable[[str], str], tries: int = 3):
-        self.ask, self.tries = ask, tries
+    def __init__(self, ask: Callable[[str], str], tries: int = 3, wait: Callable[[float], None] = time.sleep):
+        self.ask, self.tries, self.wait = ask, tries, wait
 
     def answers(self, chunks: DataFrame) -> DataFrame:
-        ask, tries = self.ask, self.tries
+        ask, tries, wait = self.ask, self.tries, self.wait
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -90,8 +114,13 @@ class CallExtractor:
                         used += 1
                         try:
                             response, error = ask(prompt), None
+                            break
                         except Exception as e:  # kept as the row's error
                             error = f"{type(e).__name__}: {e}"
+                            if not retries(e, used - 1):
+                                break
+                            if used < tries:
+                                wait(delay(used - 1))
                     out.append((doc, chunk, response, "success" if error is None else "failed", error, used))
                 yield pd.DataFrame(out, columns=["doc_id", "chunk_id", "response", "status", "error", "attempts"])
 
@@ -247,6 +276,33 @@ def repaired(text: Column) -> Column:
     return F.when(is_json_object(text), text).otherwise(run(text))
 
 
+def parsed(text: Column, key: str | None = None, mend: Callable[[str], str | None] | None = None) -> Column:
+    """An answer as a JSON object that has `key`, or {}: as it is, else as a second call mends it, else by the rules of repair.
+
+    mend: the second call, which gets the broken answer; without one only the rules are tried. Null is {}.
+    """
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        def one(t: str | None) -> str:
+            for way in ([mend] if mend else []) + [lambda x: x, repair]:
+                try:
+                    out = way(t) if t is not None else None
+                    held = json.loads(out) if out else None
+                except Exception:  # the next way is tried
+                    continue
+                if isinstance(held, dict) and (key is None or key in held):
+                    return out
+            return "{}"
+
+        return texts.map(one)
+
+    whole = is_json_object(text)
+    if key is not None:
+        whole = whole & F.coalesce(F.array_contains(F.json_object_keys(text), key), F.lit(False))
+    return F.when(whole, text).otherwise(run(text))
+
+
 _FLAT = "id:string,name:string,labels:string,description:string,properties:struct<id:string,name:string,description:string>"
 
 

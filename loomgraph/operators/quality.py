@@ -212,7 +212,7 @@ def select_chunks(chunks: DataFrame, strategy: str, most: int | None, order: str
         by = [F.col("_score").desc(), F.col(order)]
     else:
         out = chunks
-        by = [F.col(order)] if strategy == "first" else [F.xxhash64(F.lit(seed), F.col(order)), F.col(order)]
+        by = [F.col(order)] if strategy == "first" else [F.md5(F.concat(F.lit(f"{seed}:"), F.col(order).cast("string"))), F.col(order)]
     chunks = out
     ranked = chunks.withColumn("rk", F.row_number().over(Window.partitionBy(*(per or [F.lit(0)])).orderBy(*by)).cast("long"))
     ranked = ranked.drop("_score")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import alignment, enrichment, graph, html, quality
+from ..operators import alignment, build, enrichment, graph, html, quality
 from ..operators.extraction import RuleExtractor
 from . import tables
 from .tables import EDGES_SQL, ENTITIES_SQL, SCHEMA, SCHEMA_SQL, table
@@ -63,7 +63,7 @@ def id_variants(spark, d):
 def id_remap(spark, d):
     edges = _R(spark, d).filter("type = 'BELONG'")
     nations = _E(spark, d).filter("type in ('Nation', 'Region')").select(F.col("id").alias("old_id"), F.col("id").alias("new_id"))
-    mapping = _mapping(spark, d).filter("ord % 2 = 1").select("old_id", "new_id").unionByName(nations)
+    mapping = _mapping(spark, d).select("old_id", "new_id").unionByName(nations)
     return graph.remap(edges, mapping).select("source", "target", "type")
 
 
@@ -78,7 +78,7 @@ def _named(spark, d):
 
 
 def similar_pairs(spark, d):
-    return alignment.similar_pairs(_named(spark, d).select("type", F.col("ord").alias("id"), "name"), ["type"], 0.9)
+    return alignment.similar_pairs(_named(spark, d).select("type", F.col("ord").alias("id"), "name"), ["type"])
 
 
 def nation_pairs(spark, d):
@@ -95,12 +95,12 @@ def acronym_pairs(spark, d):
 
 
 def aligned_entities_closure(spark, d):
-    out, _ = alignment.closure(_named(spark, d), threshold=0.95)
+    out, _ = alignment.closure(_named(spark, d))
     return out.select("id", "name", F.col("merge_count").cast("long").alias("merge_count"), "description", "ord")
 
 
 def aligned_entities_greedy(spark, d):
-    out = alignment.merge(alignment.greedy(_named(spark, d), 0.95), "_cluster")
+    out = alignment.merge(alignment.greedy(_named(spark, d)), "_cluster")
     return out.select("id", "name", F.col("merge_count").cast("long").alias("merge_count"))
 
 
@@ -110,8 +110,38 @@ def merged_by_groups(spark, d):
     return alignment.merge(out, "_cluster").select("id", "name", F.col("merge_count").cast("long").alias("merge_count"))
 
 
+CHUNK_ROWS = 100
+
+
+def raw_graph_totals(spark, d):
+    """The union over chunks of 100 entities or edges each, and what it counts."""
+    held = lambda rows, into, *c: rows.groupBy(F.floor(F.col("ord") / CHUNK_ROWS).alias("chunk")).agg(F.collect_list(F.struct(*c)).alias(into))
+    results = held(_E(spark, d), "entities", "id", "type", "name").join(held(_R(spark, d), "relationships", "source", "target", "type"), "chunk", "full")
+    entities, relationships, totals = build.raw_union(results)
+    by_type = lambda rows, what: rows.groupBy(F.concat(F.lit(what), F.col("type")).alias("metric")).agg(F.count(F.lit(1)).alias("value"))
+    counted = totals.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in totals.columns]), F.array(*totals.columns))).alias("metric", "value"))
+    return counted.unionByName(by_type(entities, "entity ")).unionByName(by_type(relationships, "relationship "))
+
+
+def _pure(spark, d):
+    return build.pure_graph(_E(spark, d), _R(spark, d), graph.schema_table(spark, SCHEMA), "exact")
+
+
+def pure_graph_nodes(spark, d):
+    return _pure(spark, d).entities.select("id", "name", "type", F.col("merge_count").cast("long").alias("merge_count"))
+
+
+def pure_graph_edges(spark, d):
+    """The simple form of the aligned graph's edges."""
+    return _pure(spark, d).simple[1]
+
+
+def merge_prompts(spark, d):
+    return build.merge_items(_named(spark, d))
+
+
 def _simple(spark, d):
-    nodes = graph.simple_nodes(_E(spark, d).filter("type <> 'Customer'"))
+    nodes = graph.simple_nodes(_E(spark, d))
     edges = graph.simple_edges(graph.no_self_loops(_R(spark, d)))
     return nodes, edges
 
@@ -133,7 +163,7 @@ def node_link_graph(spark, d):
 
 
 def _link(spark, d):
-    nodes = _E(spark, d).filter("type <> 'Customer'").select(F.col("id").alias("pkey"), F.col("name").alias("label"), F.lower("type").alias("entity_type"), "ord")
+    nodes = _E(spark, d).select(F.col("id").alias("pkey"), F.col("name").alias("label"), F.lower("type").alias("entity_type"), "ord")
     edges = graph.no_self_loops(_R(spark, d)).select(F.col("source").alias("pkey"), F.col("target").alias("skey"), F.col("type").alias("label"), "ord")
     return graph.node_link(nodes, edges)
 
@@ -219,6 +249,7 @@ _NAMES = [
     entity_type_filter, schema_filtered_edges, dangling_edges, isolated_nodes, connected_nodes, chunk_graph_filter, post_alignment_filter, id_variants, id_remap, unmapped_ids, similar_pairs,
     nation_pairs, acronym_pairs, aligned_entities_closure, aligned_entities_greedy, merged_by_groups, simple_nodes, simple_edges, node_link_nodes, node_link_graph, full_graph, graph_node_stats,
     graph_edge_stats, graph_top_types, knn_topk, enriched_nodes, enriched_edges, enriched_procedures, enrichment_stats, document_to_graph,
+    raw_graph_totals, pure_graph_nodes, pure_graph_edges, merge_prompts,
 ]
 QUERIES = {f.__name__: f for f in _NAMES}
 
@@ -226,9 +257,9 @@ _T = ", ".join(f"'{x}'" for x in TYPES)
 _OK = "r.type IN ('BELONG', 'USE') AND r.source <> r.target"
 _TYPED = f"""typed AS (SELECT r.*, coalesce(a.type, '') AS source_type, coalesce(b.type, '') AS target_type FROM edges r LEFT JOIN {{e}} a ON a.id = r.source LEFT JOIN {{e}} b ON b.id = r.target
   WHERE {{w}}), fit AS (SELECT t.source, t.target, t.type, t.ord FROM typed t SEMI JOIN allowed USING (source_type, target_type, type))"""
-_SIMPLE = f"""{_FROM}, sn AS (SELECT id AS pkey, name AS label, lower(type) AS entity_type, 1::BIGINT AS cnt FROM entities WHERE type <> 'Customer'),
+_SIMPLE = f"""{_FROM}, sn AS (SELECT id AS pkey, name AS label, lower(type) AS entity_type, 1::BIGINT AS cnt FROM entities),
 se AS (SELECT source AS pkey, target AS skey, type AS label, count(*) AS cnt FROM edges WHERE source <> target GROUP BY ALL)"""
-_LINKED = f"""{_FROM}, n AS (SELECT id AS pkey, name AS label, lower(type) AS entity_type, ord FROM entities WHERE type <> 'Customer'),
+_LINKED = f"""{_FROM}, n AS (SELECT id AS pkey, name AS label, lower(type) AS entity_type, ord FROM entities),
 l AS (SELECT source AS pkey, target AS skey, type AS label, ord FROM edges WHERE source <> target),
 seen AS (SELECT pkey, 0 AS k, ord AS o FROM n UNION ALL SELECT pkey, 1, ord * 2 FROM l UNION ALL SELECT skey, 1, ord * 2 + 1 FROM l),
 first AS (SELECT pkey, min(struct_pack(k := k, o := o)) AS f FROM seen GROUP BY pkey),
@@ -236,6 +267,13 @@ ids AS (SELECT pkey, row_number() OVER (ORDER BY f.k, f.o, pkey) - 1 AS node_id
 _NAMED = "named AS (SELECT p_brand AS type, p_name AS name, lower(p_name) AS low, min(p_partkey) AS ord FROM part GROUP BY ALL)"
 
 
+_PURE = f"""{_FROM}, c AS (SELECT type, lower(name) AS low, count(*) AS n, arg_min(name, ord) AS name,
+  CASE WHEN count(*) = 1 THEN min(id) ELSE lower(type) || '--' || replace(replace(lower(name), ' ', ''), '-', '') END AS id FROM entities GROUP BY type, lower(name)),
+pm AS (SELECT e.id AS old, c.id AS new FROM entities e JOIN c ON c.type = e.type AND c.low = lower(e.name)),
+ok AS (SELECT a.new AS source, b.new AS target, r.type FROM edges r JOIN pm a ON a.old = r.source JOIN pm b ON b.old = r.target
+  WHERE a.new <> b.new AND EXISTS (SELECT 1 FROM allowed w JOIN c s ON s.type = w.source_type JOIN c t ON t.type = w.target_type WHERE s.id = a.new AND t.id = b.new AND w.type = r.type))"""
+
+
 def _chars(x: str) -> str:
     return f"list_distinct(string_split({x}, ''))"
 
@@ -275,18 +313,28 @@ SQL = {
       v AS (SELECT old_id AS variant, new_id, 0 AS k, -ord AS o, 0 AS n FROM p UNION ALL SELECT unnest([lower(old_id), upper(old_id), upper(old_id[1]) || lower(substring(old_id, 2)), lower(l) || '--' || lower(r), upper(l) || '--' || upper(r),
         upper(l[1]) || lower(substring(l, 2)) || '--' || r, upper(l[1]) || lower(substring(l, 2)) || '--' || lower(r), upper(l[1]) || lower(substring(l, 2)) || '--' || upper(r)]), new_id, 1, ord, unnest([0, 1, 2, 3, 4, 5, 6, 7]) FROM p)
       SELECT variant, new_id FROM (SELECT *, row_number() OVER (PARTITION BY variant ORDER BY k, o, n) AS rn FROM v) WHERE rn = 1""",
-    "id_remap": f"""{_FROM}, {_MAP}, mm AS (SELECT old_id, new_id FROM m WHERE ord % 2 = 1 UNION ALL SELECT id, id FROM entities WHERE type IN ('Nation', 'Region'))
+    "id_remap": f"""{_FROM}, {_MAP}, mm AS (SELECT old_id, new_id FROM m UNION ALL SELECT id, id FROM entities WHERE type IN ('Nation', 'Region'))
       SELECT a.new_id AS source, b.new_id AS target, r.type FROM edges r JOIN mm a ON a.old_id = r.source JOIN mm b ON b.old_id = r.target WHERE r.type = 'BELONG'""",
     "unmapped_ids": f"{_FROM}, {_MAP} SELECT id FROM entities WHERE type = 'Supplier' AND id NOT IN (SELECT old_id FROM m)",
-    "similar_pairs": f"WITH {_NAMED} SELECT a, b, rule FROM (SELECT x.ord AS a, y.ord AS b, {_rule('x.low', 'y.low', 0.9)} AS rule FROM named x JOIN named y ON x.type = y.type AND x.ord < y.ord) WHERE rule IS NOT NULL",
+    "similar_pairs": f"WITH {_NAMED} SELECT a, b, rule FROM (SELECT x.ord AS a, y.ord AS b, {_rule('x.low', 'y.low', 0.75)} AS rule FROM named x JOIN named y ON x.type = y.type AND x.ord < y.ord) WHERE rule IS NOT NULL",
     "nation_pairs": f"SELECT a, b, rule FROM (SELECT x.k AS a, y.k AS b, {_rule('x.l', 'y.l', 0.75)} AS rule FROM (SELECT n_nationkey::BIGINT AS k, lower(n_name) AS l FROM nation) x JOIN (SELECT n_nationkey::BIGINT AS k, lower(n_name) AS l FROM nation) y ON x.k < y.k) WHERE rule IS NOT NULL",
     "acronym_pairs": "SELECT x.n_nationkey::BIGINT AS a, y.n_nationkey::BIGINT AS b FROM nation x JOIN nation y ON lower(left(x.n_name, 1)) = lower(left(y.n_name, 1))",
-    "aligned_entities_closure": f"""WITH RECURSIVE {_NAMED}, p AS (SELECT x.ord AS a, y.ord AS b FROM named x JOIN named y ON x.type = y.type AND x.ord <> y.ord WHERE {_rule("x.low", "y.low", 0.95)} IS NOT NULL),
+    "aligned_entities_closure": f"""WITH RECURSIVE {_NAMED}, p AS (SELECT x.ord AS a, y.ord AS b FROM named x JOIN named y ON x.type = y.type AND x.ord <> y.ord WHERE {_rule("x.low", "y.low", 0.75)} IS NOT NULL),
       reach AS (SELECT ord AS a, ord AS b FROM named UNION SELECT r.a, p.b FROM reach r JOIN p ON p.a = r.b), c AS (SELECT a AS ord, min(b) AS cluster FROM reach GROUP BY a),
       g AS (SELECT n.*, c.cluster, 'd' || (n.ord % 3) AS dsc FROM named n JOIN c USING (ord)), f AS (SELECT cluster, dsc, min(ord) AS o FROM g GROUP BY 1, 2)
-      SELECT lower(g.type) || '--' || replace(replace(lower(g.name), ' ', ''), '-', '') AS id, g.name, w.n AS merge_count, w.d AS description, w.o AS ord FROM (
+      SELECT CASE WHEN w.n = 1 THEN 'part--' || w.o ELSE lower(g.type) || '--' || replace(replace(lower(g.name), ' ', ''), '-', '') END AS id, g.name, w.n AS merge_count, w.d AS description, w.o AS ord FROM (
         SELECT cluster, count(*) AS n, min(ord) AS o, arg_max(ord, length(name) * 1000000000 - ord) AS best, (SELECT string_agg(dsc, '; ' ORDER BY o) FROM f WHERE f.cluster = g.cluster) AS d FROM g GROUP BY cluster) w
       JOIN named g ON g.ord = w.best""",
+    "merged_by_groups": """WITH c AS (SELECT r_regionkey AS k, r_name AS name, CASE r_regionkey WHEN 1 THEN 0 WHEN 4 THEN 3 ELSE r_regionkey END AS g FROM region),
+      m AS (SELECT g, count(*) AS n, min(k) AS k, arg_max(name, length(name) * 1000 - k) AS name FROM c GROUP BY g)
+      SELECT CASE WHEN n = 1 THEN 'region--' || k ELSE 'region--' || replace(replace(lower(name), ' ', ''), '-', '') END AS id, name, n AS merge_count FROM m""",
+    "raw_graph_totals": f"""{_FROM}, c AS (SELECT ord // 100 AS c FROM entities UNION SELECT ord // 100 FROM edges)
+      SELECT 'total_entities' AS metric, (SELECT count(*) FROM entities) AS value UNION ALL SELECT 'total_relationships', (SELECT count(*) FROM edges) UNION ALL SELECT 'chunks_processed', (SELECT count(*) FROM c)
+      UNION ALL SELECT 'entity ' || type, count(*) FROM entities GROUP BY 1 UNION ALL SELECT 'relationship ' || type, count(*) FROM edges GROUP BY 1""",
+    "pure_graph_nodes": f"""{_PURE} SELECT id, name, type, n AS merge_count FROM c WHERE id IN (SELECT source FROM ok UNION SELECT target FROM ok)""",
+    "pure_graph_edges": f"{_PURE} SELECT source AS pkey, target AS skey, type AS label, count(*) AS cnt FROM ok GROUP BY ALL",
+    "merge_prompts": """WITH n AS (SELECT p_brand AS type, p_name AS name, min(p_partkey) AS ord FROM part GROUP BY ALL), i AS (SELECT *, row_number() OVER (PARTITION BY type ORDER BY ord) - 1 AS k FROM n)
+      SELECT type, count(*) AS n, string_agg(k || '. name: "' || left(name, 50) || '", description: "d' || (ord % 3) || '"', chr(10) ORDER BY k) AS listing FROM i GROUP BY type HAVING count(*) > 1""",
     "simple_nodes": f"{_SIMPLE} SELECT * FROM sn",
     "simple_edges": f"{_SIMPLE} SELECT * FROM se",
     "node_link_nodes": f"{_LINKED} SELECT node_id, coalesce(label, pkey) AS name, label, entity_type FROM ids LEFT JOIN n USING (pkey)",

@@ -301,6 +301,13 @@ def json_parse_rate(spark, d):
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("ok"), F.round(F.count_if("ok") / F.count(F.lit(1)), 6).alias("rate"))
 
 
+def json_expected_key(spark, d):
+    """Answers cut off or whole, as objects that have the expected key: mended by a call that adds it, by rules, or {}."""
+    mend = lambda t: '{"k": 0, "mended": true}' if t.startswith("{") and len(t) % 2 else None
+    raw = table(spark, d, "events").select("event_id", F.expr("CASE event_id % 4 WHEN 0 THEN '{\"k\": ' || event_id || '}' WHEN 1 THEN '{\"k\": ' || event_id WHEN 2 THEN '{\"other\": 1}' ELSE 'none' END").alias("t"))
+    return raw.select("event_id", F.get_json_object(extraction.parsed(F.col("t"), "k", mend), "$.k").alias("k"))
+
+
 def json_repaired(spark, d):
     rows = table(spark, d, "events").select("event_id", extraction.repaired(F.expr(_PROPS)).alias("j"))
     return rows.select("event_id", F.get_json_object("j", "$.k").alias("k"))
@@ -345,7 +352,7 @@ QUERIES = {
     "section_headers": section_headers, "main_titles": main_titles, "line_segments": line_segments, "chunk_numbering": chunk_numbering, "table_row_packing": table_row_packing,
     "url_file_type": url_file_type, "page_titles": page_titles, "pages_to_markdown": pages_to_markdown, "page_chunks": page_chunks, "flagship_pages_to_chunks": flagship_pages_to_chunks,
     "image_files": image_files, "prompt_features": prompt_features, "ioc_entities": ioc_entities, "ioc_cooccurrence": ioc_cooccurrence, "failure_classes": failure_classes,
-    "json_parse_rate": json_parse_rate, "json_repaired": json_repaired, "valid_entities": valid_entities, "valid_relationships": valid_relationships,
+    "json_parse_rate": json_parse_rate, "json_repaired": json_repaired, "json_expected_key": json_expected_key, "valid_entities": valid_entities, "valid_relationships": valid_relationships,
     "merge_group_validation": merge_group_validation, "call_stats": call_stats,
 }
 
@@ -360,6 +367,7 @@ SQL = {
       count(*) AS n, round(avg(length(text)), 6) AS avg_length, min(length(text))::BIGINT AS min_length, max(length(text))::BIGINT AS max_length FROM documents GROUP BY 1""",
     "content_class": """SELECT CASE WHEN contains(lower(text), 'def ') OR contains(lower(text), 'class ') OR contains(lower(text), 'import ') OR contains(text, '{') OR contains(text, '}') OR contains(text, ';') THEN 'code_like'
       WHEN len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) > 50 THEN 'text_heavy' ELSE 'mixed' END AS class, count(*) AS n FROM documents GROUP BY 1""",
+    "selection_random": _RANKED.format(by="md5('7:' || doc_id)", rows="documents"),
     "selection_first": _RANKED.format(by="doc_id", rows="documents"),
     "selection_quality": f"WITH {_QUALITY} " + _RANKED.format(by="score DESC, doc_id", rows="scored"),
     "selection_info": f"""WITH {_QUALITY}, top AS (SELECT score FROM judged WHERE reject_type = 'kept' ORDER BY score DESC, doc_id LIMIT 40)
@@ -398,6 +406,8 @@ SQL = {
       count(*) AS n FROM documents GROUP BY 1""",
     "json_parse_rate": f"""SELECT event_type, count(*) AS n, count(*) FILTER (ok) AS ok, round(count(*) FILTER (ok) / count(*), 6) AS rate FROM (
       SELECT event_type, json_valid(p) AND regexp_matches(p, '^\\{{.*\\}}$') AS ok FROM (SELECT event_type, {_PROPS} AS p FROM events)) GROUP BY 1""",
+    "json_expected_key": """SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_id::VARCHAR WHEN 1 THEN CASE WHEN length('{"k": ' || event_id) % 2 = 1 THEN '0' ELSE event_id::VARCHAR END
+      WHEN 2 THEN CASE WHEN length('{"other": 1}') % 2 = 1 THEN '0' END END AS k FROM events""",
     "json_repaired": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
     "valid_entities": f"""WITH {ANSWERS_SQL.replace("STRING", "VARCHAR")}, e AS (SELECT k, json_extract(response, '$.entities[0]') AS e FROM answers WHERE k % 7 <> 0)
       SELECT k, coalesce(json_extract_string(e, '$.id'), json_extract_string(e, '$.properties.id')) AS id, json_extract_string(e, '$.labels') AS type,

@@ -143,7 +143,7 @@ def test_extractors(spark):
 
     def ask(prompt):
         if prompt == "bad":
-            raise ValueError("no")
+            raise ConnectionError("no")  # one that is worth another try
         return '{"entities":[],"relationships":[]}'
 
     got = {r.chunk_id: (r.status, r.attempts) for r in extraction.CallExtractor(ask, 2).answers(chunks).collect()}
@@ -283,3 +283,46 @@ def test_streaming(spark, tmp_path):
 def test_plans_push_filters_and_prune(spark):
     plan = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").filter("l_orderkey > 5").select("l_partkey")._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(l_orderkey), GreaterThan(l_orderkey,5)]" in plan and "l_comment" not in plan
+
+
+def test_retry_policy(spark):
+    """Errors that may pass are tried again after 1, 2, 4 ... seconds; bad requests twice, refused content and others not at all."""
+    from loomgraph.operators import extraction
+
+    E = extraction.CallError
+    assert [extraction.retries(E("bad_request"), k) for k in range(3)] == [True, True, False]
+    assert not extraction.retries(E("bad_request", "data_inspection_failed"), 0) and not extraction.retries(ValueError("x"), 0)
+    assert all(extraction.retries(e, 9) for e in (E("rate_limit"), E("server"), TimeoutError(), ConnectionError(), ValueError("read timeout")))
+    assert [extraction.delay(k) for k in (0, 1, 2, 5, 6, 50)] == [1, 2, 4, 32, 60, 60]
+
+    def ask(prompt):
+        raise extraction.CallError(prompt)
+
+    chunks = spark.createDataFrame([(1, k, p) for k, p in enumerate(["rate_limit", "bad_request", "other"])], "doc_id long, chunk_id long, prompt string")
+    got = {r.chunk_id: r.attempts for r in extraction.CallExtractor(ask, 5, wait=lambda s: None).answers(chunks).collect()}
+    assert got == {0: 5, 1: 3, 2: 1}
+
+
+def test_alignment_strategies(spark):
+    """Groups where a model gave some, else similar names; single ones keep their ids unless these have no prefix; chunk infos unite."""
+    from loomgraph.operators import build
+
+    info = lambda *k: [(x,) for x in k]
+    rows = [("tool--a", "Tool", "Alpha", "x", 0, info(1, 2)), ("t2", "Tool", "alpha", "y", 1, info(2, 3)), ("b", "Tool", "Be ta", None, 2, None), ("unknown--c", "Target", "C", None, 3, info(5)), ("org--d", "Org", "D", None, 4, [])]
+    df = spark.createDataFrame(rows, "id string, type string, name string, description string, ord long, chunks_info array<struct<chunk_index:int>>")
+    for strategy in ("exact", "closure", "greedy"):
+        out, mapping = build.align(df, strategy)
+        got = {r.id: (r.name, r.merge_count, [x.chunk_index for x in r.chunks_info]) for r in out.collect()}
+        assert got == {"tool--alpha": ("Alpha", 2, [1, 2, 3]), "tool--beta": ("Be ta", 1, []), "target--c": ("C", 1, [5]), "org--d": ("D", 1, [])}, strategy
+        assert {r.old_id: r.new_id for r in mapping.collect()} == {"tool--a": "tool--alpha", "t2": "tool--alpha", "b": "tool--beta", "unknown--c": "target--c", "org--d": "org--d"}
+    groups = spark.createDataFrame([("Tool", [[0, 2]])], "type string, groups array<array<int>>")
+    assert sorted(r.merge_count for r in build.align(df, groups=groups)[0].collect()) == [1, 1, 1, 2]
+    assert {r.id for r in build.align(df, "none")[0].collect()} == {r[0] for r in rows}
+    listed = {r.type: r.listing for r in build.merge_items(df).collect()}
+    assert listed == {"Tool": '0. name: "Alpha", description: "x"\n1. name: "alpha", description: "y"\n2. name: "Be ta", description: ""'}
+    edges = spark.createDataFrame([("TOOL--A", "unknown--c", "USE"), ("t2", "tool--a", "USE"), ("t2", "gone", "USE")], "source string, target string, type string")
+    out = build.pure_graph(df, edges, strategy="exact")
+    assert [(r.pkey, r.skey, r.cnt) for r in out.simple[1].collect()] == [("tool--alpha", "target--c", 1)]
+    assert {r.id for r in out.full[0].collect()} == {"tool--alpha", "target--c"}
+    results = spark.createDataFrame([([("e",)], [("r",), ("q",)]), (None, None)], "entities array<struct<id:string>>, relationships array<struct<id:string>>")
+    assert tuple(build.raw_union(results)[2].first()) == (1, 2, 2)
