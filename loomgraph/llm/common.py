@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import ctypes
 import gc
+import re
 import shutil
 import tempfile
 import uuid
@@ -31,10 +32,13 @@ _OWN: dict[str, str] = {}
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, which the cluster names in spark.checkpoint.dir.
 
-    Where none is named, as in tests, a temporary one of this process, removed at its end.
+    Where none is named: the one set by setCheckpointDir; on one machine, as in tests, a temporary one of this process, removed at its
+    end; on a cluster an error, as no folder of one machine would do.
     """
-    if found := spark.conf.get("spark.checkpoint.dir", None):
+    if found := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _OWN:
         _OWN["dir"] = tempfile.mkdtemp(prefix="loomgraph-")
         atexit.register(shutil.rmtree, _OWN["dir"], ignore_errors=True)
