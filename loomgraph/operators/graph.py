@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.storage import materialise
+
 CHUNK = ["doc_id", "chunk_id"]
 
 
@@ -162,6 +164,7 @@ def dense_numbers(rows: DataFrame, order: list[str], into: str) -> DataFrame:
     """rows numbered from 0 in order, over all partitions."""
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = ranged.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() % (1 << 33))
+    placed = materialise(placed, "numbers")  # a partition's number must be the same in both uses, and after a lost executor
     sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # a row for each partition
     before = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_b"))
     return placed.join(F.broadcast(before), "_p").withColumn(into, F.col("_i") + F.col("_b")).drop("_p", "_i", "_n", "_b")

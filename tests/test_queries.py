@@ -38,3 +38,12 @@ def test_entry_runs(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["lone_characters", "caption_filter", "heading_demote", "fence_removal", "blank_collapse", "last_section", "table_separator_clean", "setext_headings"])
+def test_line_rules_change_something(spark, name):
+    """The inputs hold what each rule looks for, so that returning them unchanged would fail."""
+    from loomgraph.plans import tables
+
+    lines = tables.marked_lines(spark, SF)
+    assert QUERIES[name](spark, SF).select("doc_id", "line").exceptAll(lines.select("doc_id", "line")).count() + lines.select("doc_id", "line").exceptAll(QUERIES[name](spark, SF).select("doc_id", "line")).count() > 20
