@@ -149,8 +149,27 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts, which
 
 
-_ASKED = "chunk long, bucket int, words binary, word_counts binary, pairs binary, pair_counts binary, rows binary"
-_ANSWER = "chunk long, bucket int, counts binary, levels binary, tokens long, distinct long"
+def squeezed(values: np.ndarray, ordered: bool = False) -> bytes:
+    """Whole numbers as compressed bytes: differences where they are in order, the bytes of one rank next to each other."""
+    if not len(values):
+        return b""
+    held = np.diff(values, prepend=values.dtype.type(0)) if ordered else values
+    planes = np.ascontiguousarray(held.view(np.uint8).reshape(len(held), -1).T)
+    return pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True)
+
+
+def opened_up(blob: bytes, n: int, kind: type, ordered: bool = False) -> np.ndarray:
+    """The n numbers again."""
+    if not n:
+        return np.zeros(0, kind)
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.Codec("zstd").decompress(blob, n * size, asbytes=True), np.uint8)
+    held = np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+    return np.cumsum(held, dtype=kind) if ordered else held
+
+
+_ASKED = "chunk long, bucket int, n_words int, n_pairs int, words binary, word_counts binary, pairs binary, pair_counts binary, rows binary"
+_ANSWER = "chunk long, bucket int, n_words int, n_pairs int, counts binary, levels binary, tokens long, distinct long"
 
 
 def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
@@ -176,7 +195,10 @@ def _ask(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[pa.RecordBat
         (words, times, at), (both, together, place) = found
         low = (both >> np.uint64(32 - SLICES)).astype(np.uint32)
         rows = [
-            (chunk, b, words[at[b] : at[b + 1]].tobytes(), times[at[b] : at[b + 1]].tobytes(), low[place[b] : place[b + 1]].tobytes(), together[place[b] : place[b + 1]].tobytes(), None)
+            (
+                chunk, b, at[b + 1] - at[b], place[b + 1] - place[b], squeezed(words[at[b] : at[b + 1]] - bounds[b], True), squeezed(times[at[b] : at[b + 1]]),
+                squeezed(low[place[b] : place[b + 1]], True), squeezed(together[place[b] : place[b + 1]]), None,
+            )
             for b in range(1 << SLICES)
             if at[b + 1] > at[b] or place[b + 1] > place[b]
         ]
@@ -195,7 +217,7 @@ def _ask(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[pa.RecordBat
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_batch(part)
-            yield _batch(_ASKED, [(chunk, None, None, None, None, None, sink.getvalue().to_pybytes())])
+            yield _batch(_ASKED, [(chunk, None, None, None, None, None, None, None, sink.getvalue().to_pybytes())])
             if n >= flush:
                 yield from asked(chunk, words, both, trains)
                 words, both, trains, n = [], [], [], 0
@@ -215,22 +237,25 @@ def _answer(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Record
         there = sums > 0
         told = Filter(fill(keys[there], sums[there], room(sums[there], least)), 0).levels(keys).astype(np.uint8)[place]
         exact = counts[which]
-        yield _batch(_ANSWER, [(None, bucket, None, None, int(counts.sum()), int((counts > 0).sum()))])
+        yield _batch(_ANSWER, [(None, bucket, None, None, None, None, int(counts.sum()), int((counts > 0).sum()))])
         at = np.cumsum([0, *(len(x[0]) for x in held)]).tolist()
         to = np.cumsum([0, *(len(x[2]) for x in held)]).tolist()
-        rows = [(c, bucket, exact[at[k] : at[k + 1]].tobytes(), told[to[k] : to[k + 1]].tobytes(), None, None) for k, c in enumerate(chunks)]
+        rows = [(c, bucket, at[k + 1] - at[k], to[k + 1] - to[k], squeezed(exact[at[k] : at[k + 1]]), squeezed(told[to[k] : to[k + 1]]), None, None) for k, c in enumerate(chunks)]
         for k in range(0, len(rows), 256):
             yield _batch(_ANSWER, rows[k : k + 256])
 
     now, chunks, held = None, [], []
     for batch in batches:
-        for chunk, bucket, *blobs in zip(*batch.columns, strict=True):
+        for chunk, bucket, n_words, n_pairs, *blobs in zip(*batch.columns, strict=True):
             if bucket.as_py() != now:
                 if chunks:
                     yield from answered(now, chunks, held)
                 now, chunks, held = bucket.as_py(), [], []
             chunks.append(chunk.as_py())
-            held.append([np.frombuffer(x.as_buffer(), t) for x, t in zip(blobs, (np.uint64, np.uint32, np.uint32, np.uint32), strict=True)])
+            n_words, n_pairs = n_words.as_py(), n_pairs.as_py()
+            words, times, low, together = (x.as_py() for x in blobs)
+            first = np.uint64(now) << np.uint64(64 - SLICES)
+            held.append([opened_up(words, n_words, np.uint64, True) + first, opened_up(times, n_words, np.uint32), opened_up(low, n_pairs, np.uint32, True), opened_up(together, n_pairs, np.uint32)])
     if chunks:
         yield from answered(now, chunks, held)
 
@@ -274,7 +299,7 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts, counts, told = None, [], [], []
         for batch in batches:
-            for chunk, _, count, level, blob in zip(*batch.columns, strict=True):
+            for chunk, _, n_words, n_pairs, count, level, blob in zip(*batch.columns, strict=True):
                 if chunk.as_py() != now:
                     if parts:
                         yield from scored(parts, counts, told)
@@ -282,14 +307,15 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
                 if blob.is_valid:
                     parts += list(pa.ipc.open_stream(blob.as_buffer()))
                 else:  # in the order of buckets, which is that of keys
-                    counts.append(np.frombuffer(count.as_buffer(), np.int64))
-                    told.append(np.frombuffer(level.as_buffer(), np.uint8))
+                    counts.append(opened_up(count.as_py(), n_words.as_py(), np.int64))
+                    told.append(opened_up(level.as_py(), n_pairs.as_py(), np.uint8))
         if parts:
             yield from scored(parts, counts, told)
 
     none = F.lit(None).cast("binary")
-    texts = made.filter("rows is not null").select("chunk", "bucket", none.alias("counts"), none.alias("levels"), "rows")
-    both = texts.unionByName(answers.filter("chunk is not null").select("chunk", "bucket", "counts", "levels", none.alias("rows")))
+    sizes = ["n_words", "n_pairs"]
+    texts = made.filter("rows is not null").select("chunk", "bucket", *sizes, none.alias("counts"), none.alias("levels"), "rows")
+    both = texts.unionByName(answers.filter("chunk is not null").select("chunk", "bucket", *sizes, "counts", "levels", none.alias("rows")))
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return both.repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(lean(run), schema)
 

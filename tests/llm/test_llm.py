@@ -276,6 +276,18 @@ def test_lm_score_leaves_no_pair_out(spark, monkeypatch):
         assert sum(abs(g[1] - e[1]) for g, e in zip(got, exact, strict=True)) <= error * sum(e[2] for e in exact)
 
 
+@pytest.mark.parametrize("kind", ["uint8", "uint32", "uint64", "int64"])
+def test_squeezed_numbers_come_back(kind):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 2, 500):
+        values = rng.integers(0, np.iinfo(kind).max, n, dtype=kind)
+        for ordered in (False, True):
+            values = np.sort(values) if ordered else values
+            assert np.array_equal(lm_score.opened_up(lm_score.squeezed(values, ordered), n, np.dtype(kind).type, ordered), values)
+
+
 def test_fill_takes_every_ngram():
     """Also where a slice is far too small for them."""
     import numpy as np
