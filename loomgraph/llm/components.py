@@ -1,35 +1,77 @@
-"""Connected components of a list of links, by alternating star contractions."""
+"""Connected components of a list of links: forests within tasks, and pointers that jump between them."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import lean, materialise
+
+#: Links that a task turns into a forest at a time.
+BLOCK = 1 << 18
+
+
+def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of the links (a, b), each once, and the least end that each reaches."""
+    ends, place = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = place[: len(a)], place[len(a) :]
+    root = np.arange(len(ends))
+    while True:
+        low, high = np.minimum(root[x], root[y]), np.maximum(root[x], root[y])
+        apart = low != high
+        if not apart.any():
+            return ends, ends[root]
+        x, y, low, high = x[apart], y[apart], low[apart], high[apart]
+        np.minimum.at(root, high, low)
+        while not np.array_equal(root, up := root[root]):
+            root = up
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each block of links as stars: every end but the least of its tree, with that one.
+
+    The last link of a block opens the next one too, so that links sorted by an end are joined there across blocks.
+    """
+    held: list[np.ndarray] = []
+
+    def stars() -> pa.RecordBatch:
+        ends, least = roots(*np.concatenate(held, axis=1))
+        some = ends != least
+        return pa.RecordBatch.from_arrays([pa.array(ends[some]), pa.array(least[some])], names=["u", "v"])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(np.stack([batch.column(c).to_numpy() for c in ("u", "v")]))
+        if sum(x.shape[1] for x in held) >= BLOCK:
+            yield stars()
+            held = [held[-1][:, -1:]]
+    if held:
+        yield stars()
 
 
 def connected(links: DataFrame) -> DataFrame:
     """id, component (the least id of it) for every end of a link (_a, _b).
 
-    Large star: each node hands its larger neighbours its least neighbour. Small star: each node hands its smaller
-    neighbours, and itself, its least. Rounds go on until the sum of the links no longer changes; each is written to
-    the shared folder, so a round reads one table and no plan grows. Rounds number about the log of the longest chain.
+    A round makes forests of the links where they lie, so that an end is there once a block at most and no end floods a
+    task; deals them out by their larger end and, sorted by it, makes forests again, which joins what has an end in common; then each
+    end's parent gives way to that one's own. Rounds, each written to the shared folder, go on until every end has one
+    parent and no parent has one; they number about the log of the longest chain.
     """
-    links = links.filter("_a <> _b").select(F.greatest("_a", "_b").alias("u"), F.least("_a", "_b").alias("v")).distinct()
-    links = materialise(links, "links")
-    before = None
+    rows = "u long, v long"
+    links = links.filter("_a <> _b").select(F.col("_a").alias("u"), F.col("_b").alias("v"))
     while True:
-        both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        kept = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(kept, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(kept.select("u", F.col("m").alias("v")))
-        links = materialise(small.filter("u <> v").distinct(), "links")
-        # two sums, of ends scattered by a hash, tell whether the links have settled
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        near = links.mapInArrow(lean(_forest), rows).repartition("u").sortWithinPartitions("u").mapInArrow(lean(_forest), rows)
+        trees = materialise(near, "trees")
+        parents = trees.groupBy("u").agg(F.min("v").alias("_up"), F.max("v").alias("_other"))
+        higher = parents.select(F.col("u").alias("v"), "_up")
+        jumped = trees.join(higher, "v", "left").select("u", F.coalesce("_up", "v").alias("v"), F.col("_up").isNotNull().alias("_moved"))
+        links = materialise(jumped, "links")
+        if links.filter("_moved").isEmpty() and parents.filter("_up < _other").isEmpty():
             break
-        before = now
-    roots = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return roots.unionByName(roots.select(F.col("component").alias("id"), "component").distinct())
+        links = links.select("u", "v")
+    found = links.select(F.col("u").alias("id"), F.col("v").alias("component")).distinct()
+    return found.unionByName(found.select(F.col("component").alias("id"), "component").distinct())

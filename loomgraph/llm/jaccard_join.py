@@ -381,7 +381,7 @@ def _check(pairs: DataFrame, docs: DataFrame, text: str, threshold: Fraction, n:
     flags = ends.groupBy(F.expr("shiftrightunsigned(_set, 46)").alias("_cell")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(_set, 40) & 63 as int))")).alias("_word")
     )
-    for cell, word in flags.toLocalIterator():
+    for cell, word in flags.collect():  # 2^18 cells at most, whatever the input
         bits[cell * 8 : cell * 8 + 8] = np.frombuffer((word & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "little"), np.uint8)
     sieve = spark.sparkContext.broadcast(bits)
 
