@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lean, materialise
+from .common import materialise
 
-#: Links that a task turns into a forest at a time.
+#: Links that a task turns into a forest at a time: some 20 MB with what is made of them.
 BLOCK = 1 << 18
 
 
@@ -32,10 +32,7 @@ def roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each block of links as stars: every end but the least of its tree, with that one.
-
-    The last link of a block opens the next one too, so that links sorted by an end are joined there across blocks.
-    """
+    """Each block of links as stars: every end but the least of its tree, with that one."""
     held: list[np.ndarray] = []
 
     def stars() -> pa.RecordBatch:
@@ -44,11 +41,10 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(ends[some]), pa.array(least[some])], names=["u", "v"])
 
     for batch in batches:
-        if batch.num_rows:
-            held.append(np.stack([batch.column(c).to_numpy() for c in ("u", "v")]))
+        held.append(np.stack([batch.column(c).to_numpy() for c in ("u", "v")]))
         if sum(x.shape[1] for x in held) >= BLOCK:
             yield stars()
-            held = [held[-1][:, -1:]]
+            held.clear()
     if held:
         yield stars()
 
@@ -57,15 +53,14 @@ def connected(links: DataFrame) -> DataFrame:
     """id, component (the least id of it) for every end of a link (_a, _b).
 
     A round makes forests of the links where they lie, so that an end is there once a block at most and no end floods a
-    task; deals them out by their larger end and, sorted by it, makes forests again, which joins what has an end in common; then each
-    end's parent gives way to that one's own. Rounds, each written to the shared folder, go on until every end has one
-    parent and no parent has one; they number about the log of the longest chain.
+    task; hands each end's other parents, and itself, its least; then each end's parent gives way to that one's own.
+    Rounds, each written to the shared folder, go on until every end has one parent and no parent has one; they number
+    about the log of the longest chain.
     """
-    rows = "u long, v long"
     links = links.filter("_a <> _b").select(F.col("_a").alias("u"), F.col("_b").alias("v"))
     while True:
-        near = links.mapInArrow(lean(_forest), rows).repartition("u").sortWithinPartitions("u").mapInArrow(lean(_forest), rows)
-        trees = materialise(near, "trees")
+        stars = links.mapInArrow(_forest, "u long, v long").withColumn("_low", F.min("v").over(Window.partitionBy("u")))
+        trees = materialise(stars.select(F.when(F.col("v") == F.col("_low"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("_low").alias("v")), "trees")
         parents = trees.groupBy("u").agg(F.min("v").alias("_up"), F.max("v").alias("_other"))
         higher = parents.select(F.col("u").alias("v"), "_up")
         jumped = trees.join(higher, "v", "left").select("u", F.coalesce("_up", "v").alias("v"), F.col("_up").isNotNull().alias("_moved"))
