@@ -486,3 +486,31 @@ def test_sentencepiece_hash_clashes_do_no_harm(library, monkeypatch):
         ids, _ = encoder(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         encoder.fst.shortest = plain
         assert ids.tolist() == library.encode(text)
+
+
+def test_components_of_chains_and_stars_across_blocks(spark, monkeypatch):
+    """Blocks of a few links only, so that trees lie across blocks and rounds are needed."""
+    import random
+
+    from loomgraph.llm import components
+
+    def brute(links):
+        root = {x: x for link in links if link[0] != link[1] for x in link}
+        for _ in root:
+            for a, b in links:
+                if a != b:
+                    root[a] = root[b] = min(root[a], root[b])
+        return sorted(root.items())
+
+    monkeypatch.setattr(components, "BLOCK", 7)
+    rng = random.Random(5)
+    chain = rng.sample(range(-90, 90), 60)
+    cases = [
+        [(a, b) for k, (a, b) in enumerate(zip(chain, chain[1:])) if k % 23],
+        [(99, x) for x in range(30)] + [(x, x) for x in range(40, 44)],
+        [(rng.randint(-40, 40), rng.randint(-40, 40)) for _ in range(50)],
+        [],
+    ]
+    for links in cases:
+        found = components.connected(spark.createDataFrame(links, "_a long, _b long").repartition(5)).collect()
+        assert sorted((r["id"], r["component"]) for r in found) == brute(links)
