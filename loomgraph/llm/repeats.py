@@ -204,7 +204,7 @@ def covered(runs: pa.Array, rows: np.ndarray, length: int) -> np.ndarray:
         np.add.at(step, marked + length, -1)
     np.add.at(step, rows[whole], 1)
     np.add.at(step, rows[whole + 1], -1)
-    return np.cumsum(step[:-1]) > 0
+    return np.cumsum(step[:-1], dtype=np.int32, out=step[:-1]) > 0
 
 
 Cut = Callable[[np.ndarray, np.ndarray, pa.Array], list[pa.Array]]
