@@ -169,9 +169,11 @@ def _link(spark, d):
 
 
 def full_graph(spark, d):
+    """Counts by kind, and what merged: of edges the sum of confidences in decimals, as sums of doubles change with the partitions and round either way at a half."""
     nodes, edges = graph.full_graph(_E(spark, d), _R(spark, d))
+    confidence = F.sum(F.col("confidence").cast("decimal(28,17)"))
     return nodes.groupBy("labels").agg(F.count(F.lit(1)).alias("n"), F.sum("merge_count").cast("long").alias("merged")).select(F.col("labels").alias("kind"), "n", "merged").unionByName(
-        edges.groupBy(F.col("type").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("confidence"), 0).cast("long").alias("merged"))
+        edges.groupBy(F.col("type").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.round(confidence, 0).cast("long").alias("merged"))
     )
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from loomgraph.plans import registry
 
-from .compare import connection, same
+from .compare import TABLES, connection, same
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = registry.queries(), registry.oracle_sql()
@@ -47,3 +47,13 @@ def test_line_rules_change_something(spark, name):
 
     lines = tables.marked_lines(spark, SF)
     assert QUERIES[name](spark, SF).select("doc_id", "line").exceptAll(lines.select("doc_id", "line")).count() + lines.select("doc_id", "line").exceptAll(QUERIES[name](spark, SF).select("doc_id", "line")).count() > 20
+
+
+@pytest.mark.parametrize("n", [15, 25])
+def test_full_graph_rounds_a_half_up(spark, con, tmp_path, n):
+    """15 times 0.7 is 10.5; a sum of doubles may end just below."""
+    for t in TABLES:
+        con.sql(f"copy (select * from {t} limit {n if t == 'nation' else 1 if t == 'region' else 0}) to '{tmp_path}/{t}.parquet'")
+    found = {r.kind: (r.n, r.merged) for r in QUERIES["full_graph"](spark, str(tmp_path)).collect()}
+    assert found["BELONG"] == (n, (7 * n + 5) // 10)
+    same(spark, connection(tmp_path), QUERIES["full_graph"], SQL["full_graph"], tmp_path)
