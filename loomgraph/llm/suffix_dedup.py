@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchors import Runs
-from .common import Rolling, byte_grams, lean, ranges, strings_of, table, text_bytes
+from .common import Rolling, byte_grams, lean, materialise, ranges, shuffles_dropped, strings_of, table, text_bytes
 from .repeats import Classes, Found, covered, cut_texts, gathered, keyed, later_copies, without
 
 LENGTH = 50
@@ -161,7 +161,12 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFr
     """_doc, _tag, _runs: runs of strings, with a bit for each that goes, of the texts that lose any."""
     if length < 8:
         raise ValueError("strings of fewer than 8 bytes have no anchors")
-    texts = keyed(docs.filter("doc_id is not null"), text)
+    with shuffles_dropped(docs.sparkSession):
+        return gathered(_hits(keyed(docs.filter("doc_id is not null"), text), length))
+
+
+def _hits(texts: DataFrame, length: int) -> DataFrame:
+    """_doc, _tag, _at, _mask of the runs that lose strings, written: each step's shuffles go before the next one's, and all before the texts travel."""
     copies = later_copies(texts.filter(F.octet_length("_text") >= length), "suffix-copies")
     found = Classes(texts, _find(length), T.BinaryType(), "suffix-classes", without(texts, copies))
     open_ = found.open_content().drop("_members")
@@ -172,10 +177,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFr
         settled = settled.unionByName(_string_by_string(open_.join(heavy, "_anchor", "left_semi"), length))
     later = found.classes.filter("_most > _least").select("_class", "_least", F.lit(0).cast("long").alias("_mask"))
     told = later.unionByName(settled).groupBy("_class").agg(F.min("_least").alias("_least"), F.bit_or("_mask").alias("_mask"))
-    hit = found.resolved(told)
+    hit = found.resolved(materialise(told, "suffix-told"))
     hit = hit.withColumn("_mask", F.when(F.col("_doc") > F.col("_least"), F.lit(-1).cast("long")).otherwise(F.col("_mask"))).filter("_mask <> 0")
     whole = copies.select("_doc", "_tag", F.lit(-1).cast("long").alias("_at"), F.lit(-1).cast("long").alias("_mask"))
-    return gathered(hit.select("_doc", "_tag", "_at", "_mask").unionByName(whole))
+    return materialise(hit.select("_doc", "_tag", "_at", "_mask").unionByName(whole), "suffix-hits")
 
 
 def _string_by_string(classes: DataFrame, length: int) -> DataFrame:

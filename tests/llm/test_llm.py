@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import duckdb
 import pytest
@@ -77,6 +78,26 @@ def test_hot_classes_are_dealt_out(spark, con, monkeypatch):
     assert got == {(83, 80)}
 
 
+def test_suffix_dedup_drops_its_shuffles(spark):
+    """What a step has shuffled is gone before the next step, not when the driver's garbage is collected; the caller's setting stays."""
+
+    def shuffled():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while found.hasNext():
+            names.add(found.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(name)
+    out = suffix_dedup.remove_repeats(frame(spark, corpus(), False))
+    until = time.time() + 10  # files go in the background
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(name) == setting
+    assert out.count() == len(corpus())
+
+
 def test_suffix_dedup_heavy_anchors(spark, monkeypatch):
     """Anchors beyond the bound go string by string, to the same result."""
     data = [(d, t) for d, t in corpus(2) if d is not None]
