@@ -133,7 +133,9 @@ class Classes:
 
     def open_content(self) -> DataFrame:
         """_anchor, _class, _count, _members, _least, _content of the open anchors: a row for each class of a task's texts."""
-        find, wanted, several = self.find, self.wanted, share(self.docs, membership_filter(self.open, "_anchor", OPEN_BITS))
+        find, wanted, repeated = self.find, self.wanted, self.repeated
+        turned = self.open.select(F.shiftleft("_anchor", 32).bitwiseOR(F.shiftrightunsigned("_anchor", 32)).alias("_turned"))
+        several = share(self.docs, membership_filter(turned, "_turned", OPEN_BITS))
         names = ["_anchor", "_class", "_count", "_members", "_least", "_content"]
 
         def merged(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -148,12 +150,14 @@ class Classes:
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, size, bitmap = [], 0, opened(several)
+            held, size, first, second = [], 0, opened(repeated), opened(several)
             for batch in batches:
                 for part in slices(wanted(batch), "_text", PIECE_BYTES):
                     found = find(part)
                     runs = found.runs
-                    some = np.flatnonzero(passes(bitmap, runs.anchor))
+                    some = np.flatnonzero(passes(first, runs.anchor))
+                    half = runs.anchor[some]  # the other half of the hash, so that little passes both filters by chance
+                    some = some[passes(second, half << np.uint64(32) | half >> np.uint64(32))]
                     if not len(some):
                         continue
                     _, lead, which = np.unique(found.whole[some], return_index=True, return_inverse=True)

@@ -98,6 +98,20 @@ def test_suffix_dedup_drops_its_shuffles(spark):
     assert out.count() == len(corpus())
 
 
+def test_content_of_single_anchors_stays(spark, monkeypatch):
+    """A full filter of open anchors lets no content travel whose anchor came once."""
+    from pyspark.sql import types as T
+
+    from loomgraph.llm import repeats
+
+    monkeypatch.setattr(repeats, "OPEN_BITS", 11)
+    texts = repeats.keyed(frame(spark, corpus(), False).filter("doc_id is not null"), "text")
+    found = repeats.Classes(texts, suffix_dedup._find(50), T.BinaryType(), "test-classes")
+    sent = {r[0] for r in found.open_content().select("_anchor").distinct().collect()}
+    assert sent >= {r[0] for r in found.open.select("_anchor").collect()}
+    assert sent <= {r[0] for r in found.classes.select("_anchor").collect()}
+
+
 def test_suffix_dedup_heavy_anchors(spark, monkeypatch):
     """Anchors beyond the bound go string by string, to the same result."""
     data = [(d, t) for d, t in corpus(2) if d is not None]
